@@ -125,3 +125,40 @@ def features_sql(panel_sql: str, k_max: int = 6, fill: float = -1.0, round_mean:
     SELECT asset, ts, high, low, close, volume, hour_of_day, day_of_week, week_of_year, month, is_weekend,
            is_trading, time_to_delivery, {masked}
     FROM raw"""
+
+
+def traded_sql(panel_sql: str) -> str:
+    """Panel with the trading flag (sum rule)."""
+    return f"SELECT *, (high + low + close + volume > 0)::INTEGER AS is_trading FROM ({panel_sql})"
+
+
+def md5_key_sql(seed: int = 827) -> str:
+    return f"md5('{seed}' || '|' || asset || '|' || epoch(ts)::BIGINT::VARCHAR)"
+
+
+def islands_sql(traded: str) -> str:
+    """Gaps and islands by row-number difference; island id = rank of its first timestamp."""
+    return f"""
+    WITH t AS ({traded}),
+    g AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY ts)
+                  - row_number() OVER (PARTITION BY asset, is_trading ORDER BY ts) AS grp FROM t),
+    i AS (SELECT asset, grp, min(ts) AS island_start, count(*) AS island_len
+          FROM g WHERE is_trading = 1 GROUP BY asset, grp),
+    r AS (SELECT *, dense_rank() OVER (PARTITION BY asset ORDER BY island_start) AS island_no FROM i)
+    SELECT g.*, r.island_no, r.island_len FROM g LEFT JOIN r ON r.asset = g.asset AND r.grp = g.grp
+           AND g.is_trading = 1"""
+
+
+def boundary_sql(traded: str, before: int = 4, after: int = 4) -> str:
+    """Keep flag by explicit position ranges around starts and stops."""
+    return f"""
+    WITH t AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY ts) - 1 AS pos,
+                      is_trading - coalesce(lag(is_trading) OVER (PARTITION BY asset ORDER BY ts), 0) AS chg
+               FROM ({traded})),
+    starts AS (SELECT asset, pos AS s FROM t WHERE chg = 1),
+    stops AS (SELECT asset, pos AS e FROM t WHERE chg = -1)
+    SELECT t.*, (t.is_trading = 1
+                 OR EXISTS (SELECT 1 FROM starts x WHERE x.asset = t.asset AND x.s BETWEEN t.pos AND t.pos + {before})
+                 OR EXISTS (SELECT 1 FROM stops y WHERE y.asset = t.asset AND y.e BETWEEN t.pos - {after} AND t.pos)
+                ) AS keep_boundary
+    FROM t"""
