@@ -162,3 +162,50 @@ def boundary_sql(traded: str, before: int = 4, after: int = 4) -> str:
                  OR EXISTS (SELECT 1 FROM stops y WHERE y.asset = t.asset AND y.e BETWEEN t.pos - {after} AND t.pos)
                 ) AS keep_boundary
     FROM t"""
+
+
+def split_dates_sql(traded: str, val_start: str = "2024-01-22") -> str:
+    return (f"SELECT *, CASE WHEN ts < TIMESTAMP '{val_start}' THEN 'train' ELSE 'val' END AS split "
+            f"FROM ({traded})")
+
+
+def scalers_sql(split: str) -> str:
+    """Per contract x target mean / population std on trading training rows (zero std -> 1)."""
+    parts = []
+    for t in TARGETS:
+        parts.append(f"""SELECT asset, '{t}' AS target, avg({t}) AS mean,
+            CASE WHEN stddev_pop({t}) = 0 OR stddev_pop({t}) IS NULL THEN 1.0 ELSE stddev_pop({t}) END AS scale,
+            count(*) AS n FROM ({split}) WHERE split = 'train' AND is_trading = 1 GROUP BY asset""")
+    return " UNION ALL ".join(parts)
+
+
+def eval_sql(rows: str, L_in: int = 24, L_out: int = 10, pred: str = "naive", levels=(0.1, 0.5, 0.9)) -> str:
+    """Long evaluation frame by explicit self-join on positions (origin + 1 .. origin + L_out)."""
+    targets = TARGETS
+    if pred == "naive":
+        fc = ", ".join(f"coalesce(last_value(nullif({t}, 0) IGNORE NULLS) OVER c, 0) AS f_{t}" for t in targets)
+    elif pred == "quantile":
+        med = sorted(levels)[len(levels) // 2]
+        fc = ", ".join(f"quantile_cont({t}, {med}) OVER c AS f_{t}" for t in targets)
+    else:
+        raise ValueError(pred)
+    y = "CASE tg.target " + " ".join(f"WHEN '{t}' THEN t.{t}" for t in targets) + " END"
+    p = "CASE tg.target " + " ".join(f"WHEN '{t}' THEN o.f_{t}" for t in targets) + " END"
+    return f"""
+    WITH v AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY ts) - 1 AS pos,
+                      count(*) OVER (PARTITION BY asset) AS n_rows FROM ({rows})),
+    d AS (SELECT asset, row_number() OVER (ORDER BY asset) - 1 AS idx FROM (SELECT DISTINCT asset FROM v)),
+    o AS (SELECT v.*, d.idx, v.pos - {L_in - 1} AS start_pos, d.idx * 4294967296 + (v.pos - {L_in - 1}) AS window_id,
+                 {fc}
+          FROM v JOIN d USING (asset)
+          WINDOW c AS (PARTITION BY v.asset ORDER BY v.ts ROWS BETWEEN {L_in - 1} PRECEDING AND CURRENT ROW)),
+    origins AS (SELECT * FROM o WHERE pos >= {L_in - 1} AND pos + {L_out} < n_rows AND n_rows >= {L_in + L_out})
+    SELECT o.window_id, o.asset, o.start_pos, (t.pos - o.pos)::INTEGER AS h, tg.target, t.ts AS target_ts,
+           {y} AS y, {p}::DOUBLE AS p, t.is_trading::DOUBLE AS m
+    FROM origins o JOIN v t ON t.asset = o.asset AND t.pos BETWEEN o.pos + 1 AND o.pos + {L_out}
+    CROSS JOIN (VALUES ('high'), ('low'), ('close'), ('volume')) tg(target)"""
+
+
+def smape_agg_sql(eps: float = 1e-6) -> str:
+    return (f"CASE WHEN sum(m) = 0 THEN 0.0 ELSE "
+            f"sum(m * 2.0 * abs(y - p) / (abs(y) + abs(p) + {eps})) / sum(m) END")
