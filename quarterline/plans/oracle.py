@@ -209,3 +209,34 @@ def eval_sql(rows: str, L_in: int = 24, L_out: int = 10, pred: str = "naive", le
 def smape_agg_sql(eps: float = 1e-6) -> str:
     return (f"CASE WHEN sum(m) = 0 THEN 0.0 ELSE "
             f"sum(m * 2.0 * abs(y - p) / (abs(y) + abs(p) + {eps})) / sum(m) END")
+
+
+def stratified_sql(rows: str, frac: float = 0.1, seed: int = 827) -> str:
+    return f"""
+    SELECT * EXCLUDE (rk, n) FROM (
+      SELECT *, row_number() OVER (PARTITION BY asset, is_trading ORDER BY {md5_key_sql(seed)}, ts) AS rk,
+             count(*) OVER (PARTITION BY asset, is_trading) AS n
+      FROM ({rows}))
+    WHERE is_trading = 1 OR rk <= floor(n * {frac}::DOUBLE)"""
+
+
+def hybrid_sql(rows: str, frac: float = 0.05, seed: int = 827) -> str:
+    return f"""
+    WITH b AS ({boundary_sql(rows)}),
+    rest AS (SELECT asset, ts, row_number() OVER (PARTITION BY asset ORDER BY {md5_key_sql(seed)}, ts) AS rk,
+                    count(*) OVER (PARTITION BY asset) AS n
+             FROM b WHERE is_trading = 0 AND NOT keep_boundary)
+    SELECT b.* EXCLUDE (pos, chg, keep_boundary) FROM b LEFT JOIN rest USING (asset, ts)
+    WHERE b.keep_boundary OR rest.rk <= floor(rest.n * {frac}::DOUBLE)"""
+
+
+def strategy_rows_sql(rows: str, name: str) -> str:
+    if name == "Trading-Only":
+        return f"SELECT * FROM ({rows}) WHERE is_trading = 1"
+    if name == "Stratified":
+        return stratified_sql(rows, 0.1)
+    if name == "Boundary-Aware":
+        return f"SELECT * EXCLUDE (pos, chg, keep_boundary) FROM ({boundary_sql(rows)}) WHERE keep_boundary"
+    if name == "Hybrid":
+        return hybrid_sql(rows, 0.05)
+    raise ValueError(name)
