@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.metrics import masked_smape
 
 
+def masked_smape_col(eps: float = 1e-6):
+    """A13 as an aggregate column over an evaluation frame (y, p, m)."""
+    return masked_smape("y", "p", "m", eps)
+
+
 def smape(ev: DataFrame, by: Sequence[str] = (), eps: float = 1e-6, percent: bool = False) -> DataFrame:
     """Masked smoothed sMAPE (element weighted), overall or per group."""
     s = masked_smape("y", "p", "m", eps)
