@@ -1,3 +1,141 @@
-"""Registered plans."""
+"""Plans for ingest, sinks and streams.
+
+Each plan writes into a fresh folder under the shared ``spark.checkpoint.dir`` and reads
+the result back, so the check covers the written table, not the in-memory plan.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.segments import trading_segments
+from ..sources.candles import events_panel
+from ..sources.csv_ingest import asset_manifest, ingest_csv, read_panel
+from ..sources.panel_io import read_json_report, write_json_report, write_split, write_subsampled, \
+    write_trading_segments
+from ..session import scratch_path
+from ..streaming.candles import latest_candles, stream_event_candles
+from ..streaming.ingest import stream_ingest_csv
+from . import oracle as O
+from .catalog import register
+from .model_plans import SPLIT_1H, split_panel
+from .segment_plans import MIN_SEG, TRADED_1H, traded_panel, _cmp_sql
+
+QUARTER = 900
+PANEL_COLS = ["asset", "ts", "high", "low", "close", "volume"]
+
+
+def raw_csv_export(spark: SparkSession, sf_dir: str, n_files: int = 3) -> str:
+    """FX5: the 15-minute event panel as exchange-style CSV (ID, ExecutionTime, HLCV, an extra
+    column) in several files, plus rows without a contract id taken from the first slot."""
+    p = events_panel(spark, sf_dir, QUARTER)
+    rows = p.select(F.col("asset").alias("ID"),
+                    F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("ExecutionTime"),
+                    "high", "low", "close", "volume", F.lit("XBID").alias("venue"))
+    first = p.agg(F.min("ts").alias("t0")).first()["t0"]
+    no_id = rows.filter(F.col("ExecutionTime") == F.date_format(F.lit(first), "yyyy-MM-dd'T'HH:mm:ssXXX")) \
+                .orderBy("ID").limit(2).withColumn("ID", F.lit(None).cast("string"))
+    path = scratch_path(spark, "raw-csv")
+    rows.unionByName(no_id).repartition(n_files).write.option("header", True).csv(path)
+    return path
+
+
+@register("s01_csv_ingest_roundtrip", f"SELECT * FROM ({O.event_panel_sql(QUARTER)})")
+def s01_csv_ingest_roundtrip(spark, sf_dir):
+    """Raw CSV -> contract-partitioned snappy Parquet -> scanned back."""
+    out = scratch_path(spark, "panel")
+    ingest_csv(spark, raw_csv_export(spark, sf_dir), out)
+    return read_panel(spark, out).select(*PANEL_COLS)
+
+
+@register("s08_ingest_report", f"""
+    SELECT count(*) AS rows, ceil(count(*) / 200000)::BIGINT AS chunks, count(DISTINCT asset) AS assets,
+           0::BIGINT AS assets_skipped FROM ({O.event_panel_sql(QUARTER)})""")
+def s08_ingest_report(spark, sf_dir):
+    """Rows, chunk-equivalents, contracts written, contracts skipped (NULL ids dropped)."""
+    return ingest_csv(spark, raw_csv_export(spark, sf_dir), scratch_path(spark, "panel"))
+
+
+@register("s06_incremental_skip", f"""
+    SELECT 0::BIGINT AS rows, 0::BIGINT AS chunks, 0::BIGINT AS assets,
+           count(DISTINCT asset) AS assets_skipped FROM ({O.event_panel_sql(QUARTER)})""")
+def s06_incremental_skip(spark, sf_dir):
+    """A second ingest without ``force`` skips every contract already in the table."""
+    csv, out = raw_csv_export(spark, sf_dir), scratch_path(spark, "panel")
+    ingest_csv(spark, csv, out)
+    return ingest_csv(spark, csv, out, force=False)
+
+
+@register("s07_asset_manifest", f"SELECT DISTINCT asset FROM ({O.event_panel_sql(QUARTER)})")
+def s07_asset_manifest(spark, sf_dir):
+    """S7 + S10: manifest written as JSON, then used to resolve the contract list of a scan."""
+    out = scratch_path(spark, "panel")
+    ingest_csv(spark, raw_csv_export(spark, sf_dir), out)
+    man = scratch_path(spark, "manifest")
+    asset_manifest(read_panel(spark, out), man)
+    return read_panel(spark, out, manifest=man).select("asset").distinct()
+
+
+@register("s12_split_write", f"""
+    SELECT split, asset, count(*) AS rows, sum(is_trading) AS trading_rows FROM ({SPLIT_1H}) GROUP BY split, asset""")
+def s12_split_write(spark, sf_dir):
+    """Train / val written partitioned by split and contract, read back per partition."""
+    out = scratch_path(spark, "split")
+    write_split(split_panel(spark, sf_dir), out)
+    back = spark.read.parquet(out)
+    return back.groupBy("split", "asset").agg(F.count(F.lit(1)).alias("rows"),
+                                              F.sum("is_trading").alias("trading_rows"))
+
+
+@register("s18_segment_writer", f"""
+    SELECT asset, ts, split, segment_id FROM (
+      SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-22' THEN 'train' ELSE 'val' END AS split
+      FROM ({O.islands_sql(TRADED_1H)})) WHERE is_trading = 1 AND island_len >= {MIN_SEG}""".replace(
+    "SELECT asset, ts, split, segment_id", "SELECT asset, ts, split, island_no AS segment_id"))
+def s18_segment_writer(spark, sf_dir):
+    """Rows inside trading segments >= 4 written per split and contract."""
+    out = scratch_path(spark, "segments")
+    write_trading_segments(traded_panel(spark, sf_dir).withColumn(
+        "split", F.when(F.col("ts") < F.to_timestamp(F.lit("2024-01-22")), "train").otherwise("val")), out, MIN_SEG)
+    return spark.read.parquet(out).select("asset", "ts", "split", "segment_id")
+
+
+@register("s19_subsampled_report", f"""
+    SELECT split, count(*) AS rows, count(DISTINCT asset) AS assets FROM (
+      {O.stratified_sql(f"SELECT * FROM ({SPLIT_1H}) WHERE split = 'train'")}
+      UNION ALL
+      {O.stratified_sql(f"SELECT * FROM ({SPLIT_1H}) WHERE split = 'val'")}) GROUP BY split""")
+def s19_subsampled_report(spark, sf_dir):
+    """Stratified subsample of every contract and split, written once; rows per split."""
+    by_split, _ = write_subsampled(split_panel(spark, sf_dir), scratch_path(spark, "subsampled"), "Stratified")
+    return by_split
+
+
+@register("s14_json_report_roundtrip", f"SELECT * FROM ({_cmp_sql()})")
+def s14_json_report_roundtrip(spark, sf_dir):
+    """S14 + S15: the strategy comparison written as a JSON report and read back."""
+    from ..operators.sampling import compare_strategies
+    path = scratch_path(spark, "report")
+    write_json_report(compare_strategies(traded_panel(spark, sf_dir)), path)
+    schema = ("strategy string, total_rows long, trading_rows long, non_trading_rows long, "
+              "trading_pct double, size_reduction_pct double")
+    return read_json_report(spark, path, schema=schema)
+
+
+@register("t1_stream_ingest", f"SELECT * FROM ({O.event_panel_sql(QUARTER)})")
+def t1_stream_ingest(spark, sf_dir):
+    """The CSV export ingested by a Structured Streaming query (availableNow, one file per
+    micro-batch); its end state equals the batch ingest."""
+    csv = raw_csv_export(spark, sf_dir)
+    out, ck = scratch_path(spark, "stream-panel"), scratch_path(spark, "stream-ck")
+    stream_ingest_csv(spark, csv, out, ck, extra_cols=("venue",))
+    return read_panel(spark, out).select(*PANEL_COLS)
+
+
+@register("t2_stream_candles_15m", f"SELECT * FROM ({O.event_candles_sql(QUARTER)})")
+def t2_stream_candles_15m(spark, sf_dir):
+    """15-minute candles from the events stream (watermark 30 minutes, update mode)."""
+    out, ck = scratch_path(spark, "stream-candles"), scratch_path(spark, "stream-candles-ck")
+    stream_event_candles(spark, f"{sf_dir}/events.parquet", out, ck, "15 minutes")
+    return latest_candles(spark.read.parquet(out)).select(*PANEL_COLS)
