@@ -17,9 +17,17 @@ from ..functions.contracts import parse_contract, time_to_delivery
 from ..functions.joins import join_small
 from ..schema import TARGETS, FeatureParams
 
-BY_ASSET = Window.partitionBy("asset").orderBy("ts")
-UP_TO_NOW = BY_ASSET.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-BY_SLOT = Window.partitionBy("ts").orderBy("idx")
+
+def by_asset():
+    return Window.partitionBy("asset").orderBy("ts")
+
+
+def up_to_now():
+    return by_asset().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def by_slot():
+    return Window.partitionBy("ts").orderBy("idx")
 
 
 def asset_dimension(panel: DataFrame, order: str = "name") -> DataFrame:
@@ -50,12 +58,12 @@ def with_time_features(panel: DataFrame, dim: DataFrame | None = None, rule: str
 
 def last_nonzero(col: str) -> Column:
     """Last non-zero value at or before the row (as-of join, backward, inclusive)."""
-    return F.last(zero_to_null(col), ignorenulls=True).over(UP_TO_NOW)
+    return F.last(zero_to_null(col), ignorenulls=True).over(up_to_now())
 
 
 def _neighbour(k: int) -> Column:
     # the row of the asset k ranks away at the same timestamp; NULL when there is none
-    return F.first(F.col("_state")).over(BY_SLOT.rangeBetween(k, k))
+    return F.first(F.col("_state")).over(by_slot().rangeBetween(k, k))
 
 
 def with_cross_contract_features(df: DataFrame, params: FeatureParams = FeatureParams()) -> DataFrame:

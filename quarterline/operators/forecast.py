@@ -17,7 +17,9 @@ from ..functions.joins import join_small
 from ..schema import FORECAST, TARGETS, WindowParams
 from .windows import window_id
 
-BY_ASSET = Window.partitionBy("asset").orderBy("ts")
+
+def by_asset():
+    return Window.partitionBy("asset").orderBy("ts")
 
 
 def with_origins(df: DataFrame, p: WindowParams) -> DataFrame:
@@ -37,7 +39,7 @@ def with_origins(df: DataFrame, p: WindowParams) -> DataFrame:
 
 def naive_last_value(df: DataFrame, L_in: int, targets: Sequence[str] = TARGETS) -> DataFrame:
     """Last non-zero value of each target inside the context window, 0 if none; flat horizon."""
-    ctx = BY_ASSET.rowsBetween(-(L_in - 1), 0)
+    ctx = by_asset().rowsBetween(-(L_in - 1), 0)
     return df.withColumns({f"f_{t}": F.coalesce(F.last(zero_to_null(t), ignorenulls=True).over(ctx), F.lit(0.0))
                            for t in targets})
 
@@ -64,7 +66,7 @@ def quantile_context(df: DataFrame, L_in: int, levels: Sequence[float],
                      targets: Sequence[str] = TARGETS) -> DataFrame:
     """Empirical quantiles of each target over the context window (exact, linear
     interpolation); ``q_<target>`` is an array aligned with ``levels``."""
-    ctx = BY_ASSET.rowsBetween(-(L_in - 1), 0)
+    ctx = by_asset().rowsBetween(-(L_in - 1), 0)
     lv = F.array(*[F.lit(float(x)) for x in levels])
     return df.withColumns({f"q_{t}": F.percentile(F.col(t), lv).over(ctx) for t in targets})
 
@@ -115,12 +117,12 @@ def evaluation_frame(df: DataFrame, p: WindowParams, flat: dict[str, Column] | N
     L_out = p.output_chunk_length
     leads = {}
     for h in range(1, L_out + 1):
-        leads[f"_m{h}"] = F.lead(F.col("is_trading").cast("double"), h).over(BY_ASSET)
-        leads[f"_ts{h}"] = F.lead(F.col("ts"), h).over(BY_ASSET)
+        leads[f"_m{h}"] = F.lead(F.col("is_trading").cast("double"), h).over(by_asset())
+        leads[f"_ts{h}"] = F.lead(F.col("ts"), h).over(by_asset())
         for t in targets:
-            leads[f"_y{h}_{t}"] = F.lead(F.col(t), h).over(BY_ASSET)
+            leads[f"_y{h}_{t}"] = F.lead(F.col(t), h).over(by_asset())
             if per_row and t in per_row:
-                leads[f"_p{h}_{t}"] = F.lead(per_row[t], h).over(BY_ASSET)
+                leads[f"_p{h}_{t}"] = F.lead(per_row[t], h).over(by_asset())
     d = df.withColumns(leads).filter("is_origin")
     items = []
     for h in range(1, L_out + 1):

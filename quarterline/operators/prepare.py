@@ -14,7 +14,9 @@ from .sampling import apply_strategy
 from .segments import segment_stats, select_best, trading_segments
 from .windows import reclock
 
-BY_ASSET = Window.partitionBy("asset").orderBy("ts")
+
+def by_asset():
+    return Window.partitionBy("asset").orderBy("ts")
 
 
 def fill_series(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("asset",)) -> DataFrame:

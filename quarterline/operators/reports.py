@@ -22,8 +22,9 @@ def study_stats(trials: DataFrame) -> DataFrame:
     """Trials by state, best value / trial / parameters, mean and total duration per study."""
     complete = F.col("state") == "COMPLETE"
     loss = F.when(complete, loss_for_ranking("value"))
+    # the ordering key is NULL (ignored) for trials that did not complete
     best = F.min_by(F.struct("trial", "lr", "batch_size", "max_context_length"),
-                    F.struct(loss, F.col("trial")))
+                    F.when(complete, F.struct(loss.alias("l"), F.col("trial").alias("t"))))
     return trials.groupBy("study").agg(
         F.count(F.lit(1)).alias("n_trials"),
         F.count_if(complete).alias("n_complete"),

@@ -11,19 +11,24 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import with_is_trading
 
-BY_ASSET = Window.partitionBy("asset").orderBy("ts")
-RUNNING = BY_ASSET.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+def by_asset():
+    return Window.partitionBy("asset").orderBy("ts")
+
+
+def running():
+    return by_asset().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def with_changes(df: DataFrame) -> DataFrame:
     """First difference of ``is_trading`` with an initial 0: +1 start, -1 stop."""
     df = with_is_trading(df, "volume")
-    return df.withColumn("change", F.col("is_trading") - F.lag("is_trading", 1, 0).over(BY_ASSET))
+    return df.withColumn("change", F.col("is_trading") - F.lag("is_trading", 1, 0).over(by_asset()))
 
 
 def with_position(df: DataFrame, col: str = "pos") -> DataFrame:
     """0-based row position per contract in time order."""
-    return df.withColumn(col, (F.row_number().over(BY_ASSET) - 1).cast("long"))
+    return df.withColumn(col, (F.row_number().over(by_asset()) - 1).cast("long"))
 
 
 def with_segments(df: DataFrame) -> DataFrame:
@@ -33,7 +38,7 @@ def with_segments(df: DataFrame) -> DataFrame:
     True islands of consecutive trading rows, including one that begins on the first row.
     """
     df = with_changes(df)
-    df = df.withColumn("_sid", F.sum((F.col("change") == 1).cast("long")).over(RUNNING))
+    df = df.withColumn("_sid", F.sum((F.col("change") == 1).cast("long")).over(running()))
     seg = F.when(F.col("is_trading") == 1, F.col("_sid"))
     df = df.withColumn("segment_id", seg)
     # partitioned by (asset, segment_id): satisfied by the existing hash partitioning on asset
@@ -83,8 +88,8 @@ def boundary_flag(df: DataFrame, window_before: int = 4, window_after: int = 4)
     df = with_changes(df)
     start = (F.col("change") == 1).cast("int")
     stop = (F.col("change") == -1).cast("int")
-    near_start = F.max(start).over(BY_ASSET.rowsBetween(0, window_before)) == 1
-    after_stop = F.max(stop).over(BY_ASSET.rowsBetween(-window_after, 0)) == 1
+    near_start = F.max(start).over(by_asset().rowsBetween(0, window_before)) == 1
+    after_stop = F.max(stop).over(by_asset().rowsBetween(-window_after, 0)) == 1
     return df.withColumn("keep_boundary", (F.col("is_trading") == 1) | near_start | after_stop)
 
 

@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from ..schema import WindowParams
 from .segments import with_position
 
-BY_ASSET = Window.partitionBy("asset").orderBy("ts")
+
+def by_asset():
+    return Window.partitionBy("asset").orderBy("ts")
+
+
 # window_id = contract index * 2^32 + start position
 ID_SHIFT = 1 << 32
 
@@ -54,7 +58,7 @@ def supervised_windows(df: DataFrame, p: WindowParams = WindowParams()) -> DataF
     d = window_starts(df, p)
     row = F.struct(F.col("ts").alias("ts"), F.col("is_trading").cast("float").alias("m"),
                    F.array(*[F.col(t).cast("float") for t in targets]).alias("v"))
-    frame = BY_ASSET.rowsBetween(0, span - 1)
+    frame = by_asset().rowsBetween(0, span - 1)
     d = d.withColumn("_w", F.collect_list(row).over(frame))
     if p.contiguous:
         d = d.withColumn("_gap", F.max(F.when(F.col("is_trading") == 0, 1).otherwise(0)).over(frame))
@@ -110,6 +114,6 @@ def assign_shards(windows: DataFrame, n_shards: int) -> DataFrame:
 
 def reclock(df: DataFrame, start: str = "2020-01-01 00:00:00", step_minutes: int = 15) -> DataFrame:
     """Continuous synthetic clock after filtering: start + (row_number - 1) * step."""
-    n = F.row_number().over(BY_ASSET) - 1
+    n = F.row_number().over(by_asset()) - 1
     return df.withColumn("ts", F.to_timestamp(F.lit(start)) + F.make_dt_interval(
         F.lit(0), F.lit(0), (n * step_minutes).cast("int"), F.lit(0)))

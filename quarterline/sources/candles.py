@@ -57,12 +57,13 @@ def densify(candle_df: DataFrame, step_seconds: int) -> DataFrame:
     ``candle_df`` should be materialised (its bounds and asset list are read once).
     """
     spark = candle_df.sparkSession
-    b = candle_df.agg(F.min(F.unix_seconds("ts")).alias("lo"),
-                      F.max(F.unix_seconds("ts")).alias("hi")).first()
-    dim = materialize(asset_index(candle_df))
-    n_assets = dim.count()
+    # one small job: global bounds and the number of contracts
+    b = candle_df.agg(F.min(F.unix_seconds("ts")).alias("lo"), F.max(F.unix_seconds("ts")).alias("hi"),
+                      F.count_distinct("asset").alias("n")).first()
+    n_assets = int(b["n"])
     if b["lo"] is None or n_assets == 0:
         return candle_df.limit(0)
+    dim = asset_index(candle_df)
     n_slots = (b["hi"] - b["lo"]) // step_seconds + 1
     grid = (spark.range(0, n_assets * n_slots)
             .select((F.col("id") / F.lit(n_slots)).cast("long").alias("idx"),
