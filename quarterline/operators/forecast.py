@@ -112,27 +112,27 @@ def evaluation_frame(df: DataFrame, p: WindowParams, flat: dict[str, Column] | N
     """Long (window_id, asset, start_pos, h, target, target_ts, y, p, m) for every window and step.
 
     ``flat[t]``: forecast issued on the origin row (same for all h);
-    ``per_row[t]``: forecast attached to each row as a target row (read with lead).
+    ``per_row[t]``: forecast attached to each row as a target row.
+    The next ``L_out`` rows of each origin are gathered by one sliding frame
+    ``rowsBetween(1, L_out)`` of the per-contract window (no join, no arrays kept).
     """
     L_out = p.output_chunk_length
-    leads = {}
-    for h in range(1, L_out + 1):
-        leads[f"_m{h}"] = F.lead(F.col("is_trading").cast("double"), h).over(by_asset())
-        leads[f"_ts{h}"] = F.lead(F.col("ts"), h).over(by_asset())
-        for t in targets:
-            leads[f"_y{h}_{t}"] = F.lead(F.col(t), h).over(by_asset())
-            if per_row and t in per_row:
-                leads[f"_p{h}_{t}"] = F.lead(per_row[t], h).over(by_asset())
-    d = df.withColumns(leads).filter("is_origin")
+    fields = [F.col("ts").alias("ts"), F.col("is_trading").cast("double").alias("m"),
+              *[F.col(t).alias(t) for t in targets]]
+    if per_row:
+        fields += [per_row[t].cast("double").alias(f"_p_{t}") for t in targets if t in per_row]
+    nxt = F.collect_list(F.struct(*fields)).over(by_asset().rowsBetween(1, L_out))
+    keep = ["window_id", "asset", "start_pos", *[f"_f_{t}" for t in targets if not (per_row and t in per_row)]]
+    d = (df.withColumns({f"_f_{t}": flat[t].cast("double") for t in targets if not (per_row and t in per_row)})
+           .withColumn("_next", nxt).filter("is_origin").select(*keep, "_next"))
+    d = d.select(*keep, F.posexplode("_next").alias("_h0", "_r"))
     items = []
-    for h in range(1, L_out + 1):
-        for t in targets:
-            pred = F.col(f"_p{h}_{t}") if per_row and t in per_row else flat[t]
-            items.append(F.struct(F.lit(h).alias("h"), F.lit(t).alias("target"),
-                                  F.col(f"_ts{h}").alias("target_ts"),
-                                  F.col(f"_y{h}_{t}").alias("y"), pred.cast("double").alias("p"),
-                                  F.col(f"_m{h}").alias("m")))
-    return d.select("window_id", "asset", "start_pos", F.inline(F.array(*items)))
+    for t in targets:
+        pred = F.col("_r").getField(f"_p_{t}") if per_row and t in per_row else F.col(f"_f_{t}")
+        items.append(F.struct(F.lit(t).alias("target"), F.col("_r").getField(t).alias("y"), pred.alias("p")))
+    return d.select("window_id", "asset", "start_pos", (F.col("_h0") + 1).cast("int").alias("h"),
+                    F.col("_r.ts").alias("target_ts"), F.col("_r.m").alias("m"), F.inline(F.array(*items))
+                    ).select("window_id", "asset", "start_pos", "h", "target", "target_ts", "y", "p", "m")
 
 
 def score_external(windows: DataFrame, forecaster: Callable, levels: Sequence[float],
