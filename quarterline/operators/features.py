@@ -69,10 +69,13 @@ def _neighbour(k: int) -> Column:
 def with_cross_contract_features(df: DataFrame, params: FeatureParams = FeatureParams()) -> DataFrame:
     """J2-J5, A9, F13, F14 on a panel that already carries idx / n_assets / is_trading."""
     K = params.num_surrounding
-    df = df.withColumns({"_last_close": last_nonzero("close"), "_last_volume": last_nonzero("volume")})
+    extra = list(params.neighbour_extra)
+    df = df.withColumns({"_last_close": last_nonzero("close"), "_last_volume": last_nonzero("volume"),
+                         **{f"_last_{c}": last_nonzero(c) for c in extra}})
     df = df.withColumn("_state", F.struct(
         F.col("_last_close").alias("lc"), F.col("_last_volume").alias("lv"),
-        F.col("close").alias("c"), F.col("volume").alias("v")))
+        F.col("close").alias("c"), F.col("volume").alias("v"),
+        *[F.col(f"_last_{c}").alias(f"l_{c}") for c in extra]))
     nb = {}
     for k in range(1, K + 1):
         nb[f"_prev{k}"] = _neighbour(-k)
@@ -93,6 +96,8 @@ def with_cross_contract_features(df: DataFrame, params: FeatureParams = FeatureP
         feats[f"close_lag_adj_{k}"] = pick.getField("lc")
         feats[f"close_delta_adj_{k}"] = F.col("close") - pick.getField("lc")
         feats[f"volume_adj_{k}"] = pick.getField("lv")
+        for c in extra:  # the neighbours' last high / low as extra features
+            feats[f"{c}_lag_adj_{k}"] = pick.getField(f"l_{c}")
 
     # Nearest neighbour trading at this slot, order prev1, next1, prev2, next2, ...
     order = []
@@ -112,20 +117,26 @@ def with_cross_contract_features(df: DataFrame, params: FeatureParams = FeatureP
 
     df = df.withColumns(feats)
     df = mask_when_not_trading(df, list(feats))
-    return df.drop("_state", "_last_close", "_last_volume", *nb.keys())
+    return df.drop("_state", "_last_close", "_last_volume", *[f"_last_{c}" for c in extra], *nb.keys())
 
 
 FEATURE_ORDER = ["hour_of_day", "day_of_week", "week_of_year", "month", "is_weekend",
                  "is_trading", "time_to_delivery"]
 
 
-def feature_column_names(k_max: int = 6) -> list[str]:
+def feature_column_names(k_max: int = 6, extra: tuple = ()) -> list[str]:
     cols = []
     for k in range(1, k_max + 1):
         cols += [f"close_lag_adj_{k}", f"close_delta_adj_{k}", f"volume_adj_{k}"]
+    cols += [f"{c}_lag_adj_{k}" for c in extra for k in range(1, k_max + 1)]
     return cols + ["nearest_liquid_contract_close", "cross_contract_mean"]
 
 
+def rolling_nonzero_mean(col: str, steps: int) -> Column:
+    """Mean of the non-zero values among the last ``steps`` rows (NULL if none)."""
+    return F.avg(zero_to_null(col)).over(by_asset().rowsBetween(-(steps - 1), 0))
+
+
 def featurize(panel: DataFrame, params: FeatureParams = FeatureParams(), fill: bool = True) -> DataFrame:
     """The featured table (A3): asset, ts, HLCV, calendar, delivery, 6 x 3 neighbour columns,
     nearest liquid close and cross-contract mean; NULL -> fill value as the last projection (F12).
@@ -133,7 +144,8 @@ def featurize(panel: DataFrame, params: FeatureParams = FeatureParams(), fill: b
     dim = asset_dimension(panel, params.order)
     df = with_time_features(panel, dim, params.trading_rule)
     df = with_cross_contract_features(df, params)
-    cols = ["asset", "ts", *TARGETS, *FEATURE_ORDER, *feature_column_names(params.num_surrounding)]
+    cols = ["asset", "ts", *TARGETS, *FEATURE_ORDER,
+            *feature_column_names(params.num_surrounding, tuple(params.neighbour_extra))]
     out = df.select(*cols)
     if fill:
         out = fill_missing(out, params.fill_value, [c for c in cols if c not in ("asset", "ts")])

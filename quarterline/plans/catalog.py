@@ -40,4 +40,5 @@ def oracles() -> dict[str, str]:
 def _load() -> None:
     # importing the plan modules fills the registry
     from . import (panel_plans, feature_plans, model_plans, segment_plans,  # noqa: F401
-                   profile_plans, report_plans, window_plans, ingest_plans)
+                   profile_plans, report_plans, window_plans, ingest_plans,
+                   extra_plans)

@@ -90,6 +90,7 @@ class FeatureParams:
     side: str = "next_first"     # which neighbour fills adj_k: next_first | prev | next
     trading_rule: str = "sum"    # "sum" of HLCV > 0 (code) or "volume" > 0 (docs)
     fill_value: float = -1.0
+    neighbour_extra: tuple = ()  # e.g. ("high", "low")
 
 
 # Quantile level sets offered to the quantile forecaster.

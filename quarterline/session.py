@@ -55,7 +55,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="ql-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        root = tempfile.mkdtemp(prefix="ql-ckpt-")  # local mode / tests only
         spark.conf.set("spark.checkpoint.dir", root)
     # checkpoint() needs the context-level setting too
     if not spark.sparkContext.getCheckpointDir():
