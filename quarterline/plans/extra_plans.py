@@ -203,3 +203,69 @@ def r15_ridge_stack(spark, sf_dir):
     pred = ridge_stack(tr, va, ["p_naive", "p_quantile", "p_calendar"], reg_param=1.0)
     ev = pred.select("target", "y", F.col("prediction").alias("p"), "m")
     return M.smape(ev, ["target"]).select(F.lit("ridge_stack").alias("model"), "target", "smape", "n_scored")
+
+
+@register("a14_smape_scaled_space", f"""
+    WITH e AS ({NAIVE_EVAL_SQL}), s AS ({O.scalers_sql(SPLIT_1H)}),
+    z AS (SELECT e.target, e.m, (e.y - coalesce(s.mean, 0)) / coalesce(s.scale, 1) AS y,
+                 (e.p - coalesce(s.mean, 0)) / coalesce(s.scale, 1) AS p
+          FROM e LEFT JOIN s ON s.asset = e.asset AND s.target = e.target)
+    SELECT 'scaled' AS space, target, round({O.smape_agg_sql()}, 6) AS smape FROM z GROUP BY target
+    UNION ALL
+    SELECT 'original', target, round({O.smape_agg_sql()}, 6) FROM e GROUP BY target""")
+def a14_smape_scaled_space(spark, sf_dir):
+    """The naive forecast scored in scaled space (what the reference's loop scores) and,
+    after the inverse transform, in original units."""
+    from ..operators.scale import fit_scalers
+    from .model_plans import naive_eval
+    sc = fit_scalers(split_panel(spark, sf_dir).filter("split = 'train'"))
+    ev = naive_eval(spark, sf_dir)
+    z = M.scaled(ev, sc)
+    back = M.inverse_scaled(z, sc)
+    return (M.smape(z, ["target"]).select(F.lit("scaled").alias("space"), "target", _r6(F.col("smape")).alias("smape"))
+            .unionByName(M.smape(back, ["target"]).select(F.lit("original").alias("space"), "target",
+                                                          _r6(F.col("smape")).alias("smape"))))
+
+
+@register("k05_macro_smape_first_batches", f"""
+    WITH e AS ({NAIVE_EVAL_SQL}),
+    w AS (SELECT asset, start_pos, min(start_pos) OVER (PARTITION BY asset) AS first_pos,
+                 count(*) OVER (PARTITION BY asset) AS n FROM (SELECT DISTINCT asset, start_pos FROM e)),
+    off AS (SELECT asset, coalesce(sum(n) OVER (ORDER BY asset ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o
+            FROM (SELECT DISTINCT asset, n FROM w)),
+    b AS (SELECT e.*, (off.o + e.start_pos - w.first_pos) // 64 AS batch_id
+          FROM e JOIN w USING (asset, start_pos) JOIN off USING (asset)),
+    s AS (SELECT batch_id, {O.smape_agg_sql()} AS s FROM b WHERE batch_id < 20 GROUP BY batch_id)
+    SELECT round(coalesce(avg(s) * 100.0, 'inf'::DOUBLE), 6) AS macro_smape, count(*) AS n_batches FROM s""")
+def k05_macro_smape_first_batches(spark, sf_dir):
+    """K5: the macro score over the first 20 batches only (evaluation budget)."""
+    from .model_plans import naive_eval
+    return M.macro_smape(naive_eval(spark, sf_dir), 64, max_batches=20).withColumn(
+        "macro_smape", _r6(F.col("macro_smape")))
+
+
+@register("s17_refresh_check", f"""
+    WITH src AS (SELECT count(DISTINCT asset) AS source_assets FROM ({O.traded_sql(O.event_panel_sql(3600))})),
+    flt AS (SELECT count(DISTINCT asset) AS filtered_assets FROM ({O.islands_sql(O.traded_sql(O.event_panel_sql(3600)))})
+            WHERE is_trading = 1 AND island_len >= 12)
+    SELECT source_assets, filtered_assets, filtered_assets < 0.9 * source_assets AS refresh FROM src, flt""")
+def s17_refresh_check(spark, sf_dir):
+    """The segment-filtered table (segments >= 12 rows) must hold 90 % of the contracts,
+    else it is rebuilt."""
+    from ..operators.segments import trading_segments
+    from ..sources.csv_ingest import needs_refresh
+    p = traded_panel(spark, sf_dir)
+    return needs_refresh(p, trading_segments(p, 12))
+
+
+@register("j09_positional_corr", f"""
+    WITH p AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY ts) AS pos FROM ({O.event_panel_sql(3600)}))
+    SELECT x.asset AS asset_a, y.asset AS asset_b,
+           CASE WHEN stddev_pop(x.close) * stddev_pop(y.close) = 0 THEN NULL ELSE round(corr(x.close, y.close), 6) END
+             AS corr
+    FROM p x JOIN p y ON x.pos = y.pos AND x.asset < y.asset GROUP BY 1, 2""")
+def j09_positional_corr(spark, sf_dir):
+    """J9 + A7: close correlation with contracts aligned by row position (the reference's EDA)."""
+    from ..operators.profile import cross_asset_correlation
+    return cross_asset_correlation(events_panel(spark, sf_dir, 3600), align="position").withColumn(
+        "corr", _r6(F.col("corr")))
