@@ -61,6 +61,31 @@ def last_nonzero(col: str) -> Column:
     return F.last(zero_to_null(col), ignorenulls=True).over(up_to_now())
 
 
+def last_nonzero_chunked(df: DataFrame, cols: list[str], chunk_seconds: int,
+                         out: dict[str, str] | None = None) -> DataFrame:
+    """J3/W1 in two phases, for contracts too large for one task.
+
+    1. fill inside (contract, time chunk) partitions, so a hot contract spreads over many tasks;
+    2. carry the last non-zero value of earlier chunks in from a per-chunk summary
+       (contracts x chunks rows), broadcast behind a size check.
+    Exactly equal to :func:`last_nonzero`.
+    """
+    out = out or {c: f"last_{c}" for c in cols}
+    chunk = F.floor(F.unix_seconds("ts") / F.lit(chunk_seconds)).cast("long")
+    d = df.withColumn("_chunk", chunk)
+    local = Window.partitionBy("asset", "_chunk").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumns({f"_loc_{c}": F.last(zero_to_null(c), ignorenulls=True).over(local) for c in cols})
+    summary = d.groupBy("asset", "_chunk").agg(*[
+        F.max(F.when(zero_to_null(c).isNotNull(), F.struct(F.col("ts").alias("t"), F.col(c).alias("v"))))
+         .getField("v").alias(f"_end_{c}") for c in cols])
+    before = Window.partitionBy("asset").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select("asset", "_chunk", *[F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}")
+                                                for c in cols])
+    d = join_small(d, carry, on=["asset", "_chunk"], how="left")
+    d = d.withColumns({out[c]: F.coalesce(F.col(f"_loc_{c}"), F.col(f"_carry_{c}")) for c in cols})
+    return d.drop("_chunk", *[f"_loc_{c}" for c in cols], *[f"_carry_{c}" for c in cols])
+
+
 def _neighbour(k: int) -> Column:
     # the row of the asset k ranks away at the same timestamp; NULL when there is none
     return F.first(F.col("_state")).over(by_slot().rangeBetween(k, k))
@@ -70,8 +95,12 @@ def with_cross_contract_features(df: DataFrame, params: FeatureParams = FeatureP
     """J2-J5, A9, F13, F14 on a panel that already carries idx / n_assets / is_trading."""
     K = params.num_surrounding
     extra = list(params.neighbour_extra)
-    df = df.withColumns({"_last_close": last_nonzero("close"), "_last_volume": last_nonzero("volume"),
-                         **{f"_last_{c}": last_nonzero(c) for c in extra}})
+    if params.ffill_chunk_seconds:
+        df = last_nonzero_chunked(df, ["close", "volume", *extra], params.ffill_chunk_seconds,
+                                  {c: f"_last_{c}" for c in ["close", "volume", *extra]})
+    else:
+        df = df.withColumns({"_last_close": last_nonzero("close"), "_last_volume": last_nonzero("volume"),
+                             **{f"_last_{c}": last_nonzero(c) for c in extra}})
     df = df.withColumn("_state", F.struct(
         F.col("_last_close").alias("lc"), F.col("_last_volume").alias("lv"),
         F.col("close").alias("c"), F.col("volume").alias("v"),

@@ -32,7 +32,7 @@ def raw_csv_export(spark: SparkSession, sf_dir: str, n_files: int = 3) -> str:
     p = events_panel(spark, sf_dir, QUARTER)
     rows = p.select(F.col("asset").alias("ID"),
                     F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("ExecutionTime"),
-                    "high", "low", "close", "volume", F.lit("XBID").alias("venue"))
+                    "high", "low", "close", "volume", F.lit("intraday").alias("venue"))
     first = p.agg(F.min("ts").alias("t0")).first()["t0"]
     no_id = rows.filter(F.col("ExecutionTime") == F.date_format(F.lit(first), "yyyy-MM-dd'T'HH:mm:ssXXX")) \
                 .orderBy("ID").limit(2).withColumn("ID", F.lit(None).cast("string"))

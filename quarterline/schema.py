@@ -91,6 +91,7 @@ class FeatureParams:
     trading_rule: str = "sum"    # "sum" of HLCV > 0 (code) or "volume" > 0 (docs)
     fill_value: float = -1.0
     neighbour_extra: tuple = ()  # e.g. ("high", "low")
+    ffill_chunk_seconds: int | None = None  # two-phase as-of fill split into time chunks
 
 
 # Quantile level sets offered to the quantile forecaster.
