@@ -231,7 +231,7 @@ def a14_smape_scaled_space(spark, sf_dir):
     WITH e AS ({NAIVE_EVAL_SQL}),
     w AS (SELECT asset, start_pos, min(start_pos) OVER (PARTITION BY asset) AS first_pos,
                  count(*) OVER (PARTITION BY asset) AS n FROM (SELECT DISTINCT asset, start_pos FROM e)),
-    off AS (SELECT asset, coalesce(sum(n) OVER (ORDER BY asset ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o
+    off AS (SELECT asset, coalesce(sum(n) OVER (ORDER BY asset ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS o
             FROM (SELECT DISTINCT asset, n FROM w)),
     b AS (SELECT e.*, (off.o + e.start_pos - w.first_pos) // 64 AS batch_id
           FROM e JOIN w USING (asset, start_pos) JOIN off USING (asset)),

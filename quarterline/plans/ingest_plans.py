@@ -78,7 +78,7 @@ def s07_asset_manifest(spark, sf_dir):
 
 
 @register("s12_split_write", f"""
-    SELECT split, asset, count(*) AS rows, sum(is_trading) AS trading_rows FROM ({SPLIT_1H}) GROUP BY split, asset""")
+    SELECT split, asset, count(*) AS rows, sum(is_trading)::BIGINT AS trading_rows FROM ({SPLIT_1H}) GROUP BY split, asset""")
 def s12_split_write(spark, sf_dir):
     """Train / val written partitioned by split and contract, read back per partition."""
     out = scratch_path(spark, "split")

@@ -26,7 +26,7 @@ def a01_liquidity(spark, sf_dir):
 
 A2_SQL = f"""
     SELECT asset, count(*) AS total_rows, sum(is_trading)::BIGINT AS trading_rows,
-           count(*) - sum(is_trading)::BIGINT AS non_trading_rows, 100.0 * sum(is_trading) / count(*) AS trading_pct
+           count(*) - sum(is_trading)::BIGINT AS non_trading_rows, 100.0::DOUBLE * sum(is_trading) / count(*) AS trading_pct
     FROM ({TRADED_1H}) GROUP BY asset"""
 
 
@@ -45,8 +45,8 @@ def a02_trading_distribution_first10(spark, sf_dir):
 
 @register("a03_distribution_summary", f"""
     SELECT round(avg(trading_pct), 6) AS avg_trading_pct, round(min(trading_pct), 6) AS min_trading_pct,
-           round(max(trading_pct), 6) AS max_trading_pct, sum(total_rows) AS total_rows,
-           sum(trading_rows) AS total_trading_rows, sum(non_trading_rows) AS total_non_trading_rows,
+           round(max(trading_pct), 6) AS max_trading_pct, sum(total_rows)::BIGINT AS total_rows,
+           sum(trading_rows)::BIGINT AS total_trading_rows, sum(non_trading_rows)::BIGINT AS total_non_trading_rows,
            count(*) AS n_assets
     FROM ({A2_SQL})""")
 def a03_distribution_summary(spark, sf_dir):

@@ -71,7 +71,7 @@ def a10_segment_stats(spark, sf_dir):
     WITH a AS ({A10_SQL}),
     r AS (SELECT *, row_number() OVER (ORDER BY trading_rows DESC, asset) AS rank,
                  coalesce(sum(trading_rows) OVER (ORDER BY trading_rows DESC, asset
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM a)
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM a)
     SELECT asset, total_rows, trading_rows, n_segments, avg_segment_length, trading_ratio_original,
            rank, before + trading_rows AS cumulative_rows
     FROM r WHERE rank <= 5 AND before < 300""")
@@ -147,8 +147,8 @@ def _cmp_sql():
     WITH u AS ({u}), o AS (SELECT count(*) AS orig FROM ({TRADED_1H}))
     SELECT strategy, count(*) AS total_rows, sum(is_trading)::BIGINT AS trading_rows,
            count(*) - sum(is_trading)::BIGINT AS non_trading_rows,
-           100.0 * sum(is_trading) / count(*) AS trading_pct,
-           100.0 * (1.0 - count(*) / any_value(o.orig)) AS size_reduction_pct
+           100.0::DOUBLE * sum(is_trading) / count(*) AS trading_pct,
+           100.0::DOUBLE * (1.0::DOUBLE - count(*) / any_value(o.orig)) AS size_reduction_pct
     FROM u CROSS JOIN o GROUP BY strategy"""
 
 

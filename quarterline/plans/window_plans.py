@@ -65,7 +65,7 @@ def w08_window_digest(spark, sf_dir):
 
 
 @register("r05_batches_shards", f"""{_WIN_BASE},
-    off AS (SELECT asset, coalesce(sum(n) OVER (ORDER BY asset ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o
+    off AS (SELECT asset, coalesce(sum(n) OVER (ORDER BY asset ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS o
             FROM (SELECT asset, count(*) AS n FROM w GROUP BY asset))
     SELECT w.window_id, w.asset, w.start_pos, (off.o + w.start_pos) // 64 AS batch_id,
            (d.idx % 4)::INTEGER AS shard
@@ -153,7 +153,7 @@ def _p8_sql():
                  count(DISTINCT island_no) FILTER (WHERE island_len >= {MIN_SEG}) AS n_seg FROM it GROUP BY asset),
     r AS (SELECT asset, row_number() OVER (ORDER BY trading_rows DESC, asset) AS rank,
                  coalesce(sum(trading_rows) OVER (ORDER BY trading_rows DESC, asset ROWS BETWEEN UNBOUNDED PRECEDING
-                          AND 1 PRECEDING), 0) AS before FROM a WHERE n_seg > 0),
+                          AND 1 PRECEDING), 0)::BIGINT AS before FROM a WHERE n_seg > 0),
     chosen AS (SELECT asset FROM r WHERE rank <= 5 AND before < 300),
     tr AS (SELECT asset, ts FROM it WHERE is_trading = 1 AND island_len >= {MIN_SEG} AND asset IN (SELECT asset FROM chosen)),
     vseg AS (SELECT asset, ts FROM iv WHERE is_trading = 1 AND island_len >= {MIN_SEG} AND asset IN (SELECT asset FROM chosen)),
