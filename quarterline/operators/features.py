@@ -75,9 +75,10 @@ def last_nonzero_chunked(df: DataFrame, cols: list[str], chunk_seconds: int,
     d = df.withColumn("_chunk", chunk)
     local = Window.partitionBy("asset", "_chunk").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumns({f"_loc_{c}": F.last(zero_to_null(c), ignorenulls=True).over(local) for c in cols})
+    # last non-zero value per chunk: (asset, ts) is unique, and max_by skips rows whose key is
+    # NULL (zero / missing values), with fixed-width buffers (hash aggregate)
     summary = d.groupBy("asset", "_chunk").agg(*[
-        F.max(F.when(zero_to_null(c).isNotNull(), F.struct(F.col("ts").alias("t"), F.col(c).alias("v"))))
-         .getField("v").alias(f"_end_{c}") for c in cols])
+        F.max_by(F.col(c), F.when(zero_to_null(c).isNotNull(), F.col("ts"))).alias(f"_end_{c}") for c in cols])
     before = Window.partitionBy("asset").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select("asset", "_chunk", *[F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}")
                                                 for c in cols])

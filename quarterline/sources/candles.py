@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.contracts import contract_name_for_int
 from ..functions.joins import join_small
+from ..functions.ordering import time_seq_key
 from ..schema import TARGETS
 from ..session import ensure_utc, materialize
 
@@ -30,9 +31,14 @@ def candles(ticks: DataFrame, asset: str, ts: str, price: str, tiebreak: Sequenc
     """One HLCV candle per (asset, bucket).
 
     close = price of the last tick, ordered by (ts, *tiebreak) so the result is order-free;
-    volume defaults to the tick count.
+    volume defaults to the tick count. With one integral tie-break column the order is the
+    packed DECIMAL key (fixed-width buffer: hash aggregate, no map-side sort); longer
+    tie-breaks fall back to a struct order (sort aggregate).
     """
-    order = F.struct(*[F.col(c) for c in (ts, *tiebreak)])
+    if len(tiebreak) == 1 and dict(ticks.dtypes).get(tiebreak[0]) in ("bigint", "int", "smallint", "tinyint"):
+        order = time_seq_key(ts, tiebreak[0])
+    else:
+        order = F.struct(*[F.col(c) for c in (ts, *tiebreak)])
     vol = volume if volume is not None else F.count(F.lit(1)).cast("double")
     return (ticks
             .filter(F.col(asset).isNotNull() & F.col(ts).isNotNull())

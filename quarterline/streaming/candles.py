@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.contracts import contract_name_for_int
+from ..functions.ordering import time_seq_key
 from ..session import ensure_utc
 
 
@@ -20,7 +21,7 @@ def candle_stream(ticks: DataFrame, window: str = "15 minutes", lateness: str =
     return (ticks.withWatermark("ts", lateness)
             .groupBy("asset", F.window("ts", window).alias("w"))
             .agg(F.max("price").alias("high"), F.min("price").alias("low"),
-                 F.max_by("price", F.struct("ts", "seq")).alias("close"),
+                 F.max_by("price", time_seq_key("ts", "seq")).alias("close"),
                  F.count(F.lit(1)).cast("double").alias("volume"))
             .select("asset", F.col("w.start").alias("ts"), "high", "low", "close", "volume"))
 
@@ -53,6 +54,10 @@ def stream_event_candles(spark: SparkSession, events_path: str, out: str, checkp
 
 
 def latest_candles(versions: DataFrame) -> DataFrame:
-    """Final candle per (contract, window): the version from the latest micro-batch."""
-    latest = F.max_by(F.struct("high", "low", "close", "volume"), "batch_id")
-    return versions.groupBy("asset", "ts").agg(latest.alias("c")).select("asset", "ts", "c.*")
+    """Final candle per (contract, window): the version from the latest micro-batch.
+
+    One ``max_by`` per field keyed by the batch id (unique per candle), so the buffers stay
+    fixed-width and the aggregate is a hash aggregate.
+    """
+    return versions.groupBy("asset", "ts").agg(
+        *[F.max_by(c, "batch_id").alias(c) for c in ("high", "low", "close", "volume")])

@@ -58,3 +58,20 @@ def test_non_finite_and_ranking(spark):
     assert got == [None, None, 1.5, None]
     ranks = [r[0] for r in df.select(loss_for_ranking("x")).collect()]
     assert ranks == [float("inf"), float("inf"), 1.5, float("inf")]
+
+
+def test_time_seq_key_orders_like_struct(spark):
+    """The packed DECIMAL key sorts exactly like struct(ts, seq), extremes and NULL seq included."""
+    from quarterline.functions.ordering import time_seq_key
+    big, small = 2 ** 63 - 1, -(2 ** 63)
+    lo, hi, t = "0001-01-01 00:00:00", "9999-12-31 23:59:59.999999", "2024-01-05 10:00:00.000001"
+    rows = [(lo, small), (lo, None), (lo, big), ("1969-12-31 23:59:59.999999", 0), ("1970-01-01 00:00:00", small),
+            (t, -1), (t, 0), (t, 1), ("2024-01-05 10:00:00.000002", None), (hi, big), (hi, small)]
+    df = (spark.createDataFrame([(i, t_, s) for i, (t_, s) in enumerate(rows)], "i int, t string, seq long")
+          .select("i", F.to_timestamp("t").alias("ts"), "seq"))
+    by_struct = [r.i for r in df.orderBy(F.struct("ts", "seq")).select("i").collect()]
+    by_key = [r.i for r in df.orderBy(time_seq_key("ts", "seq")).select("i").collect()]
+    assert by_key == by_struct
+    plan = df.groupBy(F.lit(1)).agg(F.max_by("i", time_seq_key("ts", "seq")))._jdf.queryExecution() \
+             .executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
