@@ -42,25 +42,27 @@ def prepare_series(featured: DataFrame, strategy: str, input_chunk_length: int,
                    starts: dict[str, str] | None = None, step_minutes: int = 15,
                    targets: Sequence[str] = TARGETS, **strategy_kw) -> DataFrame:
     """Strategy per split -> contracts long enough on both sides (L_in + L_out + 10) ->
-    clean and fill every numeric column -> continuous synthetic clock per split (W9)."""
+    clean and fill every numeric column -> continuous synthetic clock per split (W9).
+
+    One pass: every per-series window is keyed by (split, asset), so the splits share one
+    exchange instead of a filter + union branch per split (which would recompute the input)."""
     starts = starts or {"train": "2020-01-01 00:00:00", "val": "2021-01-01 00:00:00"}
-    sampled = reduce(DataFrame.unionByName,
-                     [apply_strategy(featured.filter(F.col("split") == s), strategy, **strategy_kw)
-                      for s in starts])
+    keys = ("split", "asset")
+    sampled = apply_strategy(featured.filter(F.col("split").isin(list(starts))), strategy,
+                             keys=keys, **strategy_kw)
     sampled = min_length_both_sides(sampled, input_chunk_length + output_chunk_length + 10, list(starts))
     num = [*targets, *[c for c in covariate_columns(sampled, targets) if c not in ("idx", "n_assets")]]
     num = [c for c in num if dict(sampled.dtypes).get(c) in ("double", "float", "int", "bigint")]
-    filled = fill_series(sampled, num, by=("split", "asset"))
-    parts = []
-    for s, t0 in starts.items():
-        part = filled.filter(F.col("split") == s).withColumn("orig_ts", F.col("ts"))
-        parts.append(reclock_by(part, t0, step_minutes, by=("split", "asset")))
-    return reduce(DataFrame.unionByName, parts)
+    filled = fill_series(sampled, num, by=keys).withColumn("orig_ts", F.col("ts"))
+    start = F.coalesce(*[F.when(F.col("split") == s, F.to_timestamp(F.lit(t0))) for s, t0 in starts.items()])
+    return reclock_by(filled, start, step_minutes, by=keys)
 
 
-def reclock_by(df: DataFrame, start: str, step_minutes: int, by: Sequence[str] = ("asset",)) -> DataFrame:
+def reclock_by(df: DataFrame, start, step_minutes: int, by: Sequence[str] = ("asset",)) -> DataFrame:
+    """W9 per series: ``start`` (a timestamp string or column) + position * step."""
+    t0 = F.to_timestamp(F.lit(start)) if isinstance(start, str) else start
     n = F.row_number().over(Window.partitionBy(*by).orderBy("ts")) - 1
-    return df.withColumn("ts", F.to_timestamp(F.lit(start)) + F.make_dt_interval(
+    return df.withColumn("ts", t0 + F.make_dt_interval(
         F.lit(0), F.lit(0), (n * step_minutes).cast("int"), F.lit(0)))
 
 

@@ -23,48 +23,51 @@ def sample_key(seed: int = SEED) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("asset"), F.unix_seconds("ts").cast("string")))
 
 
-def _exact_fraction(eligible: Column, fraction: float, seed: int) -> Column:
-    """True for exactly floor(fraction * n) eligible rows per contract (n = eligible rows)."""
-    grp = Window.partitionBy("asset", "_elig")
+def _exact_fraction(eligible: Column, fraction: float, seed: int, keys=("asset",)) -> Column:
+    """True for exactly floor(fraction * n) eligible rows per series (n = eligible rows)."""
+    grp = Window.partitionBy(*keys, "_elig")
     rank = F.row_number().over(grp.orderBy(sample_key(seed), "ts"))
     n = F.count(F.lit(1)).over(grp)
     return F.col("_elig") & (rank <= F.floor(n * F.lit(float(fraction))))
 
 
-def trading_only(df: DataFrame) -> DataFrame:
-    """P1."""
+def trading_only(df: DataFrame, keys=("asset",)) -> DataFrame:
+    """P1 (row-wise; ``keys`` only for a uniform signature)."""
     return df.filter(F.col("is_trading") == 1)
 
 
-def stratified_flag(df: DataFrame, non_trading_fraction: float = 0.1, seed: int = SEED) -> DataFrame:
+def stratified_flag(df: DataFrame, non_trading_fraction: float = 0.1, seed: int = SEED,
+                    keys=("asset",)) -> DataFrame:
     d = df.withColumn("_elig", F.col("is_trading") == 0)
-    picked = _exact_fraction(F.col("_elig"), non_trading_fraction, seed)
+    picked = _exact_fraction(F.col("_elig"), non_trading_fraction, seed, keys)
     return d.withColumn("keep_stratified", (F.col("is_trading") == 1) | picked).drop("_elig")
 
 
-def stratified(df: DataFrame, non_trading_fraction: float = 0.1, seed: int = SEED) -> DataFrame:
+def stratified(df: DataFrame, non_trading_fraction: float = 0.1, seed: int = SEED,
+               keys=("asset",)) -> DataFrame:
     """All trading rows plus exactly floor(f * n_non_trading) non-trading rows per contract."""
-    return stratified_flag(df, non_trading_fraction, seed).filter("keep_stratified").drop("keep_stratified")
+    return stratified_flag(df, non_trading_fraction, seed, keys).filter("keep_stratified").drop("keep_stratified")
 
 
-def boundary_aware(df: DataFrame, window_before: int = 4, window_after: int = 4) -> DataFrame:
+def boundary_aware(df: DataFrame, window_before: int = 4, window_after: int = 4,
+                   keys=("asset",)) -> DataFrame:
     """P3 (W6)."""
-    return (boundary_flag(df, window_before, window_after).filter("keep_boundary")
+    return (boundary_flag(df, window_before, window_after, keys).filter("keep_boundary")
             .drop("keep_boundary", "change"))
 
 
 def hybrid_flag(df: DataFrame, non_trading_fraction: float = 0.05, window_before: int = 4,
-                window_after: int = 4, seed: int = SEED) -> DataFrame:
-    d = boundary_flag(df, window_before, window_after)
+                window_after: int = 4, seed: int = SEED, keys=("asset",)) -> DataFrame:
+    d = boundary_flag(df, window_before, window_after, keys)
     d = d.withColumn("_elig", (F.col("is_trading") == 0) & ~F.col("keep_boundary"))
-    picked = _exact_fraction(F.col("_elig"), non_trading_fraction, seed)
+    picked = _exact_fraction(F.col("_elig"), non_trading_fraction, seed, keys)
     return d.withColumn("keep_hybrid", F.col("keep_boundary") | picked).drop("_elig")
 
 
 def hybrid(df: DataFrame, non_trading_fraction: float = 0.05, window_before: int = 4,
-           window_after: int = 4, seed: int = SEED) -> DataFrame:
+           window_after: int = 4, seed: int = SEED, keys=("asset",)) -> DataFrame:
     """Boundary-aware rows plus exactly floor(f * remaining) of the other non-trading rows."""
-    d = hybrid_flag(df, non_trading_fraction, window_before, window_after, seed)
+    d = hybrid_flag(df, non_trading_fraction, window_before, window_after, seed, keys)
     return d.filter("keep_hybrid").drop("keep_hybrid", "keep_boundary", "change")
 
 

@@ -12,18 +12,20 @@ from pyspark.sql import functions as F
 from ..functions.calendar import with_is_trading
 
 
-def by_asset():
-    return Window.partitionBy("asset").orderBy("ts")
+def by_asset(keys=("asset",)):
+    return Window.partitionBy(*keys).orderBy("ts")
 
 
 def running():
     return by_asset().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def with_changes(df: DataFrame) -> DataFrame:
-    """First difference of ``is_trading`` with an initial 0: +1 start, -1 stop."""
+def with_changes(df: DataFrame, keys=("asset",)) -> DataFrame:
+    """First difference of ``is_trading`` with an initial 0: +1 start, -1 stop.
+
+    ``keys`` is the series key (e.g. ``("split", "asset")`` to treat each split on its own)."""
     df = with_is_trading(df, "volume")
-    return df.withColumn("change", F.col("is_trading") - F.lag("is_trading", 1, 0).over(by_asset()))
+    return df.withColumn("change", F.col("is_trading") - F.lag("is_trading", 1, 0).over(by_asset(keys)))
 
 
 def with_position(df: DataFrame, col: str = "pos") -> DataFrame:
@@ -82,14 +84,14 @@ def select_best(stats: DataFrame, target_total_rows: int = 50_000, target_n_asse
     return chosen.withColumn("cumulative_rows", F.col("rows_before") + F.col("trading_rows")).drop("rows_before")
 
 
-def boundary_flag(df: DataFrame, window_before: int = 4, window_after: int = 4) -> DataFrame:
+def boundary_flag(df: DataFrame, window_before: int = 4, window_after: int = 4, keys=("asset",)) -> DataFrame:
     """``keep_boundary`` = trading row, or within ``before`` rows ahead of a start,
     or the stop row and the ``after`` rows following it."""
-    df = with_changes(df)
+    df = with_changes(df, keys)
     start = (F.col("change") == 1).cast("int")
     stop = (F.col("change") == -1).cast("int")
-    near_start = F.max(start).over(by_asset().rowsBetween(0, window_before)) == 1
-    after_stop = F.max(stop).over(by_asset().rowsBetween(-window_after, 0)) == 1
+    near_start = F.max(start).over(by_asset(keys).rowsBetween(0, window_before)) == 1
+    after_stop = F.max(stop).over(by_asset(keys).rowsBetween(-window_after, 0)) == 1
     return df.withColumn("keep_boundary", (F.col("is_trading") == 1) | near_start | after_stop)
 
 

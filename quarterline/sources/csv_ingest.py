@@ -98,8 +98,10 @@ def read_panel(spark: SparkSession, root: str, assets: Sequence[str] | None = No
 
 def needs_refresh(source: DataFrame, filtered: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Rebuild the filtered table when it holds fewer than 90 % of the source contracts."""
-    a = source.agg(F.count_distinct("asset").alias("source_assets")).withColumn("_k", F.lit(1))
-    b = filtered.agg(F.count_distinct("asset").alias("filtered_assets")).withColumn("_k", F.lit(1))
-    # both sides are single-row aggregates joined on a constant key
-    return (a.join(b, "_k").drop("_k")
-             .withColumn("refresh", F.col("filtered_assets") < F.lit(threshold) * F.col("source_assets")))
+    # one pass, no join: tag both inputs, reduce to one row per contract, then count
+    tagged = (source.select("asset", F.lit(True).alias("_src"), F.lit(False).alias("_flt"))
+              .unionByName(filtered.select("asset", F.lit(False).alias("_src"), F.lit(True).alias("_flt"))))
+    per_asset = (tagged.filter(F.col("asset").isNotNull()).groupBy("asset")
+                 .agg(F.max("_src").alias("_src"), F.max("_flt").alias("_flt")))
+    counts = per_asset.agg(F.count_if("_src").alias("source_assets"), F.count_if("_flt").alias("filtered_assets"))
+    return counts.withColumn("refresh", F.col("filtered_assets") < F.lit(threshold) * F.col("source_assets"))
