@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import covariate_columns, non_finite_to_null
 from ..schema import TARGETS
 from .sampling import apply_strategy
-from .segments import segment_stats, select_best, trading_segments
+from .segments import select_best, with_segments
 from .windows import reclock
 
 
@@ -70,18 +70,31 @@ def segment_training_set(train: DataFrame, val: DataFrame, min_segment_length: i
                          target_n_assets: int, input_chunk_length: int, output_chunk_length: int) -> DataFrame:
     """A10 -> W7 -> segment rows of the chosen contracts (train); validation = its segments,
     or the full validation rows when it has none, or the training rows when it is missing (J8);
-    then the continuous clock and the A11 window counts per split and contract."""
-    chosen = select_best(segment_stats(train, min_segment_length), target_total_rows, target_n_assets).select("asset")
-    tr = trading_segments(train.join(chosen, "asset", "left_semi"), min_segment_length)
-    v_all = val.join(chosen, "asset", "left_semi")
-    v_seg = trading_segments(v_all, min_segment_length)
-    has_seg = v_seg.select("asset").distinct()
-    v_full = v_all.join(has_seg, "asset", "left_anti")                          # val without segments
-    cols = [c for c in tr.columns if c in v_seg.columns and c not in ("change", "segment_id", "segment_length")]
-    v_fallback = tr.join(v_all.select("asset").distinct(), "asset", "left_anti")  # val missing -> train
-    val_rows = (v_seg.select(*cols).unionByName(v_full.select(*cols)).unionByName(v_fallback.select(*cols)))
-    both = (tr.select(*cols).withColumn("split", F.lit("train"))
-            .unionByName(val_rows.withColumn("split", F.lit("val"))))
+    then the A11 window counts per split and contract.
+
+    One pass: the segments of both splits come from one window keyed by (split, contract) and
+    are reduced to one summary row per contract; the choice (W7) and the fallback rules run on
+    that summary, so no row set is unioned or joined back.
+    """
+    both = (train.withColumn("split", F.lit("train"))
+            .unionByName(val.withColumn("split", F.lit("val")), allowMissingColumns=True))
+    seg = with_segments(both, keys=("split", "asset"))
+    kept = F.coalesce(F.col("segment_length") >= min_segment_length, F.lit(False))
+    is_tr, is_va = F.col("split") == "train", F.col("split") == "val"
+    per_asset = (seg.groupBy("asset")
+                 .agg(F.count_if(is_tr & kept).alias("trading_rows"),
+                      F.count_if(is_tr & kept & (F.col("change") == 1)).alias("n_segments"),
+                      F.count_if(is_va & kept).alias("_va_seg"),
+                      F.count_if(is_va).alias("_va_all"))
+                 .filter(F.col("n_segments") > 0))
+    chosen = select_best(per_asset, target_total_rows, target_n_assets)
+    val_rows = (F.when(F.col("_va_seg") > 0, F.col("_va_seg"))
+                 .when(F.col("_va_all") > 0, F.col("_va_all"))
+                 .otherwise(F.col("trading_rows")))
+    counts = chosen.select("asset", F.inline(F.array(
+        F.struct(F.lit("train").alias("split"), F.col("trading_rows").alias("n_rows")),
+        F.struct(F.lit("val").alias("split"), val_rows.alias("n_rows")))))
     span = input_chunk_length + output_chunk_length
-    return (both.groupBy("split", "asset").agg(F.count(F.lit(1)).alias("n_rows"))
-                .withColumn("n_windows", F.greatest(F.lit(0), F.col("n_rows") - F.lit(span - 1)).cast("long")))
+    return (counts.filter(F.col("n_rows") > 0)
+                  .select("split", "asset", "n_rows",
+                          F.greatest(F.lit(0), F.col("n_rows") - F.lit(span - 1)).cast("long").alias("n_windows")))

@@ -33,18 +33,19 @@ def with_position(df: DataFrame, col: str = "pos") -> DataFrame:
     return df.withColumn(col, (F.row_number().over(by_asset()) - 1).cast("long"))
 
 
-def with_segments(df: DataFrame) -> DataFrame:
+def with_segments(df: DataFrame, keys=("asset",)) -> DataFrame:
     """W5 (without the length filter): ``segment_id`` (running count of starts) for trading rows,
     and ``segment_length`` = rows of that island. Non-trading rows get NULLs.
 
     True islands of consecutive trading rows, including one that begins on the first row.
     """
-    df = with_changes(df)
-    df = df.withColumn("_sid", F.sum((F.col("change") == 1).cast("long")).over(running()))
+    df = with_changes(df, keys)
+    running_ = by_asset(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = df.withColumn("_sid", F.sum((F.col("change") == 1).cast("long")).over(running_))
     seg = F.when(F.col("is_trading") == 1, F.col("_sid"))
     df = df.withColumn("segment_id", seg)
-    # partitioned by (asset, segment_id): satisfied by the existing hash partitioning on asset
-    length = F.count(F.lit(1)).over(Window.partitionBy("asset", "segment_id"))
+    # partitioned by (keys, segment_id): satisfied by the existing hash partitioning on the keys
+    length = F.count(F.lit(1)).over(Window.partitionBy(*keys, "segment_id"))
     return df.withColumn("segment_length", F.when(F.col("is_trading") == 1, length).cast("long")).drop("_sid")
 
 

@@ -144,3 +144,17 @@ def test_external_scorer_matches_builtin(spark):
     f = score_external(w, empirical_quantile_model, [0.1, 0.5, 0.9], 10)
     assert f.count() == 50 * 4 * 10 * 3
     assert f.filter("h = 1 AND quantile = 0.5").count() == 200
+
+
+def test_segment_training_set_fallbacks(spark):
+    """val = its segments (A), else its full rows (B), else the train segments when the
+    contract has no val rows (C); D has no segment of 3 rows and is not chosen."""
+    from quarterline.operators.prepare import segment_training_set
+    v0 = T0 + timedelta(days=10)
+    train = (series(spark, "A", [1, 1, 1, 0]).unionByName(series(spark, "B", [1, 1, 1, 1]))
+             .unionByName(series(spark, "C", [1, 1, 1])).unionByName(series(spark, "D", [1, 1, 0])))
+    val = series(spark, "A", [1, 1, 1, 0, 0], v0).unionByName(series(spark, "B", [1, 0, 1, 0, 0], v0))
+    got = {(r.split, r.asset): (r.n_rows, r.n_windows)
+           for r in segment_training_set(train, val, 3, 1000, 5, 1, 1).collect()}
+    assert got == {("train", "A"): (3, 2), ("train", "B"): (4, 3), ("train", "C"): (3, 2),
+                   ("val", "A"): (3, 2), ("val", "B"): (5, 4), ("val", "C"): (3, 2)}
