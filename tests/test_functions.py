@@ -75,3 +75,15 @@ def test_time_seq_key_orders_like_struct(spark):
     plan = df.groupBy(F.lit(1)).agg(F.max_by("i", time_seq_key("ts", "seq")))._jdf.queryExecution() \
              .executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_alias_and_mask_default(spark):
+    """first present of the candidate names wins; F23: a missing mask is all ones."""
+    from quarterline.functions.cleaning import mask_or_ones, resolve_alias
+    df = spark.createDataFrame([(1.0, 2.0, None)], "past double, y double, mask double")
+    r = resolve_alias(resolve_alias(df, ["past_target", "past", "x"], "context"), ["future_target", "y"], "target")
+    assert set(r.columns) == {"context", "target", "mask"}
+    with pytest.raises(KeyError):
+        resolve_alias(df, ["nope"], "context")
+    assert r.select(mask_or_ones(r).alias("m")).first().m == 1.0          # NULL mask -> 1
+    assert df.drop("mask").select(mask_or_ones(df.drop("mask")).alias("m")).first().m == 1.0
