@@ -18,6 +18,13 @@ def test_events_scan_prunes_columns(spark):
     assert cols == {"event_id", "ts", "user_id", "value"}
 
 
+def test_event_candles_stay_on_hash_aggregate(spark):
+    """The close's (ts, event_id) order is a packed DECIMAL, so no map-side sort of the ticks."""
+    from quarterline.sources.candles import events_candles
+    txt = plan_text(events_candles(spark, SF_SMALL, 900))
+    assert "HashAggregate" in txt and "SortAggregate" not in txt and "ObjectHashAggregate" not in txt
+
+
 def test_flagship_two_panel_exchanges(spark):
     import __spark_entry__ as E
     df = E.queries()["features_1h"](spark, SF_SMALL)
