@@ -1,7 +1,7 @@
 """Raw CSV ingest into a contract-partitioned Parquet table.
 
-One job: scan -> project -> parse time -> drop NULL contracts -> shuffle by contract ->
-sort within partitions -> partitioned write. There are no temporary per-contract files;
+One job: scan -> project -> parse time -> drop NULL contracts -> rebalance by contract ->
+sort within partitions -> partitioned write (the ingest report is observed on that job). There are no temporary per-contract files;
 the shuffle replaces the reference's two-pass split.
 """
 
@@ -10,9 +10,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_small
 from ..schema import TARGETS
 from ..session import ensure_utc
 
@@ -30,16 +31,23 @@ def read_raw_csv(spark: SparkSession, path: str, id_col: str = "ID", timestamp_c
     return out.filter(F.col("asset").isNotNull() & F.col("ts").isNotNull())
 
 
+def _sorted_for_write(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    # REBALANCE by the partition columns: a hash shuffle by contract that AQE may split where
+    # one contract is hot (a third of all rows no longer lands in one write task) and coalesce
+    # where partitions are small. Each task then sorts its rows by (contract, time).
+    return df.hint("rebalance", *parts).sortWithinPartitions(*parts, "ts")
+
+
 def write_panel(df: DataFrame, out: str, mode: str = "overwrite", extra_partitions: Sequence[str] = ()) -> None:
     """Shuffle by contract, sort each contract by time, snappy Parquet partitioned by
     (extra..., asset). ``mode="overwrite"`` replaces only the partitions written (dynamic)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     parts = [*extra_partitions, "asset"]
-    (df.repartition(*parts)
-       .sortWithinPartitions(*parts, "ts")
-       .write.mode(mode).option("compression", "snappy")
-       .partitionBy(*parts).parquet(out))
+    _write_sorted(_sorted_for_write(df, parts), out, mode, parts)
+
+
+def _write_sorted(df: DataFrame, out: str, mode: str, parts: Sequence[str]) -> None:
+    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    df.write.mode(mode).option("compression", "snappy").partitionBy(*parts).parquet(out)
 
 
 def existing_assets(spark: SparkSession, out: str) -> DataFrame | None:
@@ -52,19 +60,38 @@ def existing_assets(spark: SparkSession, out: str) -> DataFrame | None:
 def ingest_csv(spark: SparkSession, csv_path: str, out: str, force: bool = True, chunksize: int = 200_000,
                **read_kw) -> DataFrame:
     """Ingest, skip contracts already written unless ``force`` (S6), return the
-    ingest report (S8): rows, chunk count equivalent, contracts, contracts skipped."""
+    ingest report (S8): rows, chunk count equivalent, contracts, contracts skipped.
+
+    The raw files are read once: the report comes from observations on the write job itself.
+    Contract sets are observed before the shuffle (a set union is unaffected by a re-run map
+    task); the row count is observed in the write stage, where each task counts exactly once.
+    The sets hold one name per contract (the series dimension), not rows.
+    """
     df = read_raw_csv(spark, csv_path, **read_kw)
-    skipped = 0
-    if not force:
-        have = existing_assets(spark, out)
-        if have is not None:
-            skipped = df.select("asset").distinct().join(have, "asset", "left_semi").count()
-            df = df.join(have, "asset", "left_anti")
-    write_panel(df, out, mode="overwrite" if force else "append")
-    stats = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("asset").alias("assets")).first()
-    rows = int(stats["rows"])
+    have = None if force else existing_assets(spark, out)
+    if have is not None:
+        df = join_small(df, have.withColumn("_have", F.lit(True)), on="asset", how="left")
+    else:
+        df = df.withColumn("_have", F.lit(None).cast("boolean"))
+    sets = Observation("ingest_contracts")
+    df = df.observe(sets, F.size(F.collect_set(F.when(F.col("_have").isNull(), F.col("asset")))).alias("assets"),
+                    F.size(F.collect_set(F.when(F.col("_have"), F.col("asset")))).alias("skipped"))
+    fresh = df.filter(F.col("_have").isNull()).drop("_have")
+    rows_obs = Observation("ingest_rows")
+    sorted_rows = _sorted_for_write(fresh, ["asset"]).observe(rows_obs, F.count(F.lit(1)).alias("rows"))
+    _write_sorted(sorted_rows, out, "overwrite" if force else "append", ["asset"])
+    rows = int(rows_obs.get["rows"])
+    if rows > 0:
+        m = sets.get
+        assets, skipped = int(m["assets"]), int(m["skipped"])
+    else:
+        # nothing written: AQE replaces the empty shuffle stage by an empty relation and its
+        # observation is not reported, so count from the contract lists (contract column only)
+        assets = 0
+        skipped = 0 if have is None else (read_raw_csv(spark, csv_path, **read_kw).select("asset").distinct()
+                                          .join(have, "asset", "left_semi").count())
     return spark.createDataFrame(
-        [(rows, math.ceil(rows / chunksize) if rows else 0, int(stats["assets"]), skipped)],
+        [(rows, math.ceil(rows / chunksize) if rows else 0, assets, skipped)],
         "rows long, chunks long, assets long, assets_skipped long")
 
 
