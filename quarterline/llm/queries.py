@@ -14,6 +14,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm.mixing import mix, taken_words
+    return taken_words(*mix(table(spark, sf_dir, "documents")))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm.warc import read_warc, write_warc
     records = read_warc(write_warc(table(spark, sf_dir, "pages")), with_payload=False)
@@ -35,7 +40,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op5_warc, op8_line_dedup, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_mix_sources, op5_warc, op8_line_dedup, op10_token_files)}
 
 # white space of the contracts, and what a SQL string needs to name it
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
