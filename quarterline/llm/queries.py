@@ -32,6 +32,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm.bagminhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from quarterline.llm.token_files import read_token_files, word_encoder, write_token_files
@@ -40,7 +45,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_mix_sources, op5_warc, op8_line_dedup, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_mix_sources, op5_warc, op8_line_dedup, op9_bagminhash,
+                                  op10_token_files)}
 
 # white space of the contracts, and what a SQL string needs to name it
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
