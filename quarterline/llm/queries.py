@@ -25,6 +25,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.filter("gap is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm.pivot_index import embedding_links
+    return embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm.line_dedup import apply_bitmaps, keep_bitmaps
     docs = table(spark, sf_dir, "documents")
@@ -45,7 +50,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_mix_sources, op5_warc, op8_line_dedup, op9_bagminhash,
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_mix_sources, op5_warc, op7_pivot_index, op8_line_dedup, op9_bagminhash,
                                   op10_token_files)}
 
 # white space of the contracts, and what a SQL string needs to name it
