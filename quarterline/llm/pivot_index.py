@@ -27,7 +27,7 @@ from quarterline.llm.common import written
 from quarterline.llm.components import connected_components
 
 COSINE = 0.9
-NEAREST, SHARED = 8, 2
+NEAREST, SHARED = 12, 2
 BLOCK = 2_048
 MAX_PIVOTS = 16_384
 
