@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from quarterline.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm.toxicity import toxicity
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm.exact_dedup import exact_duplicates
     return exact_duplicates(table(spark, sf_dir, "documents")).select(
@@ -50,7 +55,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_mix_sources, op5_warc, op7_pivot_index, op8_line_dedup, op9_bagminhash,
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op4_mix_sources, op5_warc, op7_pivot_index, op8_line_dedup, op9_bagminhash,
                                   op10_token_files)}
 
 # white space of the contracts, and what a SQL string needs to name it
