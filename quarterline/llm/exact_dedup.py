@@ -28,6 +28,9 @@ from quarterline.llm.common import BLANKS, tasks, text_or_empty, written
 
 _ENTRY = ("digest binary, check_len long, check_hash long, best_len long, id_null boolean, id long, "
           "n long, n_tied long, home int")
+_ENTRY_T = pa.schema([("digest", pa.binary()), ("check_len", pa.int64()), ("check_hash", pa.int64()),
+                      ("best_len", pa.int64()), ("id_null", pa.bool_()), ("id", pa.int64()), ("n", pa.int64()),
+                      ("n_tied", pa.int64()), ("home", pa.int32())])
 def _order() -> list:
     return ["digest", "check_len", "check_hash", F.desc("best_len"), "id_null", "id"]
 
@@ -44,12 +47,12 @@ def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stream a sorted run and keep one entry per verified digest; holds one open entry between batches."""
-    names = [c.split()[0] for c in _ENTRY.split(", ")]
+    names = _ENTRY_T.names
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        t = pa.Table.from_batches([batch]).select(names)
+        t = pa.Table.from_batches([batch]).select(names).cast(_ENTRY_T)
         if held is not None:
             t = pa.concat_tables([held, t]).combine_chunks()
         dig = np.array(t["digest"].to_pylist(), dtype=object)
@@ -66,6 +69,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = out.set_column(names.index("n"), "n", pa.array(np.add.reduceat(num["n"], first), pa.int64()))
         out = out.set_column(names.index("n_tied"), "n_tied",
                              pa.array(np.add.reduceat(num["n_tied"] * tied, first), pa.int64()))
+        out = out.cast(_ENTRY_T)
         held = out.slice(len(first) - 1, 1)
         yield from out.slice(0, len(first) - 1).combine_chunks().to_batches()
     if held is not None:
