@@ -19,6 +19,15 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm.secrets import secret_scan, span_column
+    found = secret_scan(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(span_column(F.col("base")), 256).alias("base_sha256"),
+                        span_column(F.concat("base", "added")).alias("spans"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm.mixing import mix, taken_words
     return taken_words(*mix(table(spark, sf_dir, "documents")))
@@ -55,7 +64,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op4_mix_sources, op5_warc, op7_pivot_index, op8_line_dedup, op9_bagminhash,
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_secret_scan, op4_mix_sources, op5_warc, op7_pivot_index, op8_line_dedup, op9_bagminhash,
                                   op10_token_files)}
 
 # white space of the contracts, and what a SQL string needs to name it
