@@ -39,6 +39,15 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.filter("gap is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from quarterline.llm.byte_bpe import round_trip
+    coded = round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                       public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm.pivot_index import embedding_links
     return embedding_links(table(spark, sf_dir, "embeddings"))
@@ -64,8 +73,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_secret_scan, op4_mix_sources, op5_warc, op7_pivot_index, op8_line_dedup, op9_bagminhash,
-                                  op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_secret_scan, op4_mix_sources, op5_warc,
+                                  op6_byte_bpe, op7_pivot_index, op8_line_dedup, op9_bagminhash, op10_token_files)}
 
 # white space of the contracts, and what a SQL string needs to name it
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
