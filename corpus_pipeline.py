@@ -1,25 +1,64 @@
-"""Corpus pipeline: the stages of a training corpus, each written as Parquet and read by the next."""
+"""Corpus pipeline: the stages of a training corpus, each written as Parquet and read by the next.
+
+``run`` applies the stages to ``documents``: toxic documents go, of exact copies and of near copies one
+document stays, sources are mixed to their target weights, and the mix is encoded by byte-level BPE.
+All stages but the last return the columns of their input.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quarterline.llm.bagminhash import drop_near_duplicates
+from quarterline.llm.byte_bpe import round_trip
 from quarterline.llm.common import table, written
 from quarterline.llm.exact_dedup import drop_exact_duplicates
+from quarterline.llm.mixing import mixed_documents
+from quarterline.llm.toxicity import drop_toxic
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more go (operator 1)."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal up to white space one document stays (operator 2)."""
     return drop_exact_duplicates(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the smallest doc_id stays (operator 9)."""
+    return drop_near_duplicates(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once per pass of the mix that takes words of it, its text what the pass takes (operator 4)."""
+    return mixed_documents(docs)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and digests of the ids and of the bytes decoded from them, per row of the mix (operator 6)."""
+    import public_tokenizers
+    coded = round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("byte_bpe", byte_bpe),
+]
 
-#: Trained scores and token ids are beyond SQL; tests compare the run with a brute-force version.
+#: A trained score, signatures and token ids are beyond SQL; tests compare the run with a brute-force version.
 ORACLE_SQL: str | None = None
 
 
