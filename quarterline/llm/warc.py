@@ -28,7 +28,7 @@ from quarterline.session import scratch_path
 VERSION = b"WARC/1.1"
 GZIP_MAGIC = b"\x1f\x8b\x08"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_VERSION_LINE = re.compile(rb"(?m)^WARC/1\.[01]\r\n")
+_VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 
 _RECORD = ("path string, start long, end long, record_type string, page_id long, refers_to long, url string, "
            "payload binary, payload_bytes long, payload_digest string, gap string")
@@ -114,7 +114,8 @@ def _member(data, start: int) -> tuple[dict, int]:
 
 def salvage(data) -> Iterator[tuple[int, int, dict | None, str | None]]:
     """(start, end, record, None) for each valid record, (start, end, None, failed check) for each gap."""
-    packed = data.find(GZIP_MAGIC) >= 0 and not _VERSION_LINE.match(data, 0)
+    first, line = data.find(GZIP_MAGIC), _VERSION_LINE.search(data)
+    packed = first >= 0 and (line is None or first < line.start())  # whichever kind of start comes first
     read, at, size = (_member, 0, len(data)) if packed else (parse_record, 0, len(data))
     lost, why = None, None
     while at < size:
