@@ -49,6 +49,12 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """Whole rows in one column ``row`` beside the operator's own columns: no name can clash.
+    ``select("row.*")`` brings the rows back."""
+    return docs.select(F.struct("*").alias("row"), *[c.alias(k) for k, c in keys.items()])
+
+
 def fingerprint(text: Column) -> Column:
     """64 bits that tell rows of one repeated doc_id apart when their texts differ."""
     return F.xxhash64(text)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import BLANKS, tasks, text_or_empty, written
+from quarterline.llm.common import BLANKS, packed, tasks, text_or_empty, written
 
 _ENTRY = ("digest binary, check_len long, check_hash long, best_len long, id_null boolean, id long, "
           "n long, n_tied long, home int")
@@ -132,11 +132,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
     stay = exact_duplicates(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_ql_id"), F.col("text_sha256").alias("_ql_sha"), F.col("n_points").alias("_ql_len"),
-        F.col("n_tied").alias("_ql_tied"))
+        F.col("doc_id").alias("stay_id"), "text_sha256", "n_points", "n_tied")
     text = text_or_empty(text_col)
-    left = docs.withColumns({"_ql_s": F.sha2(F.translate(text, BLANKS, ""), 256), "_ql_n": F.length(text)})
-    j = left.join(stay.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_ql_id"))
-                  & (F.col("_ql_s") == F.col("_ql_sha")) & (F.col("_ql_n") == F.col("_ql_len")))
-    one = j.filter("_ql_tied = 1").select(*docs.columns)
-    return one.unionByName(j.filter("_ql_tied > 1").dropDuplicates(["_ql_sha"]).select(*docs.columns))
+    rows = packed(docs, id=F.col(id_col).cast("long"), sha=F.sha2(F.translate(text, BLANKS, ""), 256), points=F.length(text))
+    j = rows.join(stay.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("stay_id"))
+                  & (F.col("sha") == F.col("text_sha256")) & (F.col("points") == F.col("n_points")))
+    return (j.filter("n_tied = 1").select("row.*")
+            .unionByName(j.filter("n_tied > 1").dropDuplicates(["sha"]).select("row.*")))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import fingerprint, text_or_empty, written
+from quarterline.llm.common import fingerprint, packed, text_or_empty, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_WITH_BLANKS = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
@@ -196,26 +196,24 @@ def mixed_documents(docs: DataFrame, seed: int = 17, block_words: int = BLOCK_WO
             .agg(F.array_sort(F.collect_list(F.struct("from_word", "n_words"))).alias("runs")))
     runs = (placed.filter("size > 0").join(runs, ["source_no", "start"])
             .groupBy("doc_id", "fp", "source", "size").agg(F.collect_list(F.struct("start", "pass", "runs")).alias("passes")))
-    runs = runs.select(F.col("doc_id").alias("_ql_id"), F.col("fp").alias("_ql_fp"), F.col("source").alias("_ql_src"),
-                       F.col("size").alias("_ql_size"), F.col("passes").alias("_ql_passes"))
-    text = text_or_empty("text")
-    left = docs.withColumn("_ql_f", fingerprint(text))
+    runs = runs.withColumnsRenamed({"doc_id": "of_id", "fp": "of_fp", "source": "of_source"})
+    rows = packed(docs, id=F.col("doc_id").cast("long"), f=fingerprint(text_or_empty("text")), text=F.col("text"),
+                  src=F.col("source").cast("string"))
+    j = rows.join(runs.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("f") == F.col("of_fp"))
+                  & F.col("src").eqNullSafe(F.col("of_source")))
     # rows alike in id, text and source share one list: number them and let each take its own start
-    j = left.join(runs.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("_ql_id"))
-                  & (F.col("_ql_f") == F.col("_ql_fp")) & F.col("source").eqNullSafe(F.col("_ql_src")))
-    starts = F.array_sort(F.array_distinct(F.transform("_ql_passes", lambda p: p["start"])))
-    j = j.withColumn("_ql_starts", starts)
-    same = Window.partitionBy("_ql_id", "_ql_fp", "_ql_src").orderBy(F.lit(1))
-    one = j.filter(F.size("_ql_starts") == 1).withColumn("_ql_start", F.element_at("_ql_starts", 1))
-    more = (j.filter(F.size("_ql_starts") > 1).withColumn("_ql_k", F.row_number().over(same))
-            .filter(F.col("_ql_k") <= F.size("_ql_starts"))
-            .withColumn("_ql_start", F.element_at("_ql_starts", F.col("_ql_k"))).drop("_ql_k"))
-    j = one.unionByName(more).withColumn("_ql_pass", F.explode(F.expr("filter(_ql_passes, p -> p.start = _ql_start)")))
-    whole = F.expr("aggregate(_ql_pass.runs, 0L, (n, r) -> n + r.n_words) = _ql_size")
+    j = j.withColumn("starts", F.array_sort(F.array_distinct(F.transform("passes", lambda p: p["start"]))))
+    same = Window.partitionBy("of_id", "of_fp", "of_source").orderBy(F.lit(1))
+    one = j.filter(F.size("starts") == 1).withColumn("start", F.element_at("starts", 1))
+    more = (j.filter(F.size("starts") > 1).withColumn("k", F.row_number().over(same))
+            .withColumn("start", F.element_at("starts", F.col("k"))).drop("k"))
+    j = one.unionByName(more).withColumn("taken", F.explode(F.expr("filter(passes, p -> p.start = start)")))
+    whole = F.expr("aggregate(taken.runs, 0L, (n, r) -> n + r.n_words) = size")
     cut = F.expr(f"""transform(array(regexp_extract_all(text, r'{WORD_WITH_BLANKS}', 0)), w ->
-        array_join(transform(_ql_pass.runs, r ->
+        array_join(transform(taken.runs, r ->
             array_join(slice(w, cast(r.from_word as int) + 1, cast(r.n_words as int)), '')), ''))[0]""")
     j = j.withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
+    row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
-        j = j.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return j.select(*docs.columns)
+        row = row.withField("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return j.select(row.alias("row")).select("row.*")

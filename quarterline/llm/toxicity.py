@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import text_or_empty, written
+from quarterline.llm.common import packed, text_or_empty, written
 
 SAMPLE_DOCS, LEARNER_DOCS, CALIBRATION = 12_000, 4_000, 5
 SAMPLE_CHARS = 100_000  # longer documents are left out of the sample, not out of the scoring
-ALPHA, BETA, L1, L2, EPOCHS, MIN_DOCS = 1.0, 1.0, 20.0, 0.0, 6, 5
+ALPHA, BETA, L1, L2, EPOCHS, MIN_DOCS = 1.0, 1.0, 10.0, 0.0, 6, 5
 FOLDS = 5
 
 _WORD = re.compile(r"\w+")
@@ -200,8 +200,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-def with_scores(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` with the score of every whole text; null text counts as empty."""
+def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """(row, score): whole rows with the score of every whole text; null text counts as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # hundreds of weights
 
     @F.pandas_udf("double")
@@ -209,18 +209,18 @@ def with_scores(docs: DataFrame, model: Model, text_col: str = "text", score_col
         for t in texts:
             yield pd.Series(shared.value.scores(t.tolist()))
 
-    return docs.withColumn(score_col, score(text_or_empty(text_col)))
+    return packed(docs, score=score(text_or_empty(text_col)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted (1 from 0.5). An empty table gives an empty
     result; rows that repeat are scored alike; other columns are not looked at."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    scored = with_scores(rows, fit(docs, labels, id_col, text_col))
-    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    found = scored(rows, fit(docs, labels, id_col, text_col)).select("row.doc_id", "score")
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score below 0.5, with all their columns."""
-    return with_scores(docs, fit(docs, labels), score_col="_ql_score").filter("_ql_score < 0.5").select(*docs.columns)
+    return scored(docs, fit(docs, labels)).filter("score < 0.5").select("row.*")
