@@ -167,8 +167,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         sample_docs: int = SAMPLE_DOCS, learner_docs: int = LEARNER_DOCS) -> Model:
     """A model from at most ``sample_docs`` labelled documents that are not held out.
 
-    Labels other than 0 and 1 and null ids are left out; if labels of an id differ, 1 counts. Without
-    any usable label all scores are 0.5.
+    Labels other than 0 and 1 and null ids are left out; if labels of an id differ, 1 counts. If no
+    document of the sample is labelled toxic, all scores are the same and close to 0.
     """
     spark = docs.sparkSession
     known = (labels.select(F.col(id_col).cast("long").alias("_id"), F.col("toxic").cast("int").alias("label"))
@@ -181,6 +181,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .join(F.broadcast(known), F.col("doc_id") == F.col("_id"))  # at most sample_docs rows
               .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"), F.first("order").alias("order")))
     sample = written(sample, "toxic-sample")
+    if not sample.filter("label = 1").head(1):
+        return Model(np.zeros(0, np.int64), np.zeros(0), -6.0)
     learners = max(1, round(sample.count() * (CALIBRATION - 1) / CALIBRATION / learner_docs))
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(CALIBRATION))
     train = (sample.filter(part > 0).withColumn("learner", F.pmod(F.xxhash64("doc_id", F.lit("learner")), F.lit(learners)))
