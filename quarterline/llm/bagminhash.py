@@ -12,10 +12,10 @@ horizon is doubled for the few documents with a component still empty.
 Pairs. Documents with equal multisets form a class, represented once. Classes that share one of the
 bands (5 components each) are candidates. Within a bucket first everything is compared with the
 smallest and the largest member; only pairs that are then still in different components are compared
-all together. So a bucket of copies costs a star and not all its pairs, while no link between
-different components is left out. A pair is first held against the signatures (at an estimate below
-``floor``, six standard deviations under the threshold, the pair is out), then its multiset overlap
-is computed exactly.
+all together, in blocks of ``BLOCK`` members within tasks that return links and no pairs. So a bucket of copies costs a star and not all
+its pairs, while no link between different components is left out. A pair is first held against the
+signatures (at an estimate below ``FLOOR``, five standard deviations under the threshold, the pair is
+out), then its multiset overlap is computed exactly.
 """
 
 from __future__ import annotations
@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import fingerprint, text_or_empty, written
+from quarterline.llm.common import fingerprint, packed, text_or_empty, written
 from quarterline.llm.components import connected_components
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
+FLOOR = 0.62  # five standard deviations of the estimate under the threshold
+BLOCK = 512
 _M = BANDS * ROWS
 _GOLD, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -202,8 +204,77 @@ def _estimator(floor: float):
     return keep
 
 
+def _candidates(t: pa.Table, similarity: float, floor: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, partners, roots) of one group (band, bi, bj): partners of i in other components that may be
+    similar enough and share no earlier band with it. The caller may change roots while it goes on."""
+    band, bi, bj = (t[c][0].as_py() for c in ("band", "bi", "bj"))
+    own, w = t["own"].to_numpy(), t["weight"].to_numpy()
+    root = np.unique(np.array(t["root"].to_pylist(), object), return_inverse=True)[1]
+    sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, _M)
+    bands = np.stack(t["bands"].to_pylist())
+    left = np.flatnonzero(own == bi)
+    right = left if bi == bj else np.flatnonzero(own == bj)
+    for i in left:
+        k = right[right > i] if bi == bj else right
+        k = k[(root[k] != root[i]) & (np.minimum(w[k], w[i]) >= similarity * np.maximum(w[k], w[i]))]
+        k = k[(sig[k] == sig[i]).mean(axis=1) >= floor]
+        if len(k):
+            k = k[bands[i][(bands[k] == bands[i]).argmax(axis=1)] == band]
+        if len(k):
+            yield i, k, root
+
+
+def _streamed(settle):
+    """Stream groups (band, bi, bj) that stand together; the open group, at most two blocks, is held."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            if held is not None:
+                t = pa.concat_tables([held, t.cast(held.schema)])
+            if not t.num_rows:
+                continue
+            key = [t[c].to_numpy() for c in ("band", "bi", "bj")]
+            cut = [0, *(np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1).tolist()]
+            for lo, hi in zip(cut[:-1], cut[1:]):
+                yield from settle(t.slice(lo, hi - lo))
+            held = t.slice(cut[-1]).combine_chunks()
+        if held is not None and held.num_rows:
+            yield from settle(held)
+    return run
+
+
+def _finder(similarity: float, floor: float):
+    """(band, cls) of members with a candidate partner: only these need their multisets."""
+    def settle(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        hit = np.zeros(t.num_rows, bool)
+        for i, k, _ in _candidates(t, similarity, floor):
+            hit[i] = hit[k] = True
+        if hit.any():
+            yield from t.select(["band", "cls"]).filter(pa.array(hit)).combine_chunks().to_batches()
+    return _streamed(settle)
+
+
+def _joiner(similarity: float, floor: float):
+    """Links between components of one group; a pair whose components have met meanwhile is passed over."""
+    def settle(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        cls = t["cls"].to_pylist()
+        h = [np.frombuffer(x, np.uint64) for x in t["hashes"].to_pylist()]
+        c = [np.frombuffer(x, "<i4") for x in t["counts"].to_pylist()]
+        a, b = [], []
+        for i, k, root in _candidates(t, similarity, floor):
+            for j in k:
+                if root[i] != root[j] and overlap(h[i], c[i], h[j], c[j]) >= similarity:
+                    a.append(cls[i])
+                    b.append(cls[j])
+                    root[root == root[j]] = root[i]
+        if a:
+            yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+    return _streamed(settle)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    similarity: float = SIMILARITY, floor: float = 0.55) -> DataFrame:
+                    similarity: float = SIMILARITY, floor: float = FLOOR) -> DataFrame:
     """One row per document: doc_id, fp, class_id (smallest doc_id within reach of links), class_size, kept.
 
     A link joins two documents whose multisets of five-word shingles overlap by ``similarity`` or more
@@ -253,12 +324,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = (members.filter("n > 2").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
               .withColumn("root", F.coalesce("root", "cls")).select("band", "cls", "root"))
     split = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
-    rest = written(placed.join(split, "band"), "bag-rest")
-    cross = (rest.toDF("band", "a", "ra").join(rest.toDF("band", "b", "rb"), "band")
-             .filter("ra <> rb and a < b").select("a", "b").distinct()
-             .join(seen.select("a", "b"), ["a", "b"], "left_anti"))
-    more = tested(cross, "cross")
-    links = seen.unionByName(more).filter("linked").select("a", "b")
+    rest = written(placed.join(split, "band").join(classes.select("cls", "weight", "sig", "bands"), "cls"), "bag-rest")
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        """Members in the pairs of blocks of their bucket, pairs standing together."""
+        sizes = rows.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        group = ["band", "bi", "bj"]
+        return (rows.join(sizes, "band").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other"))
+                .drop("blocks", "other").repartition(*group).sortWithinPartitions(*group))
+
+    close = written(grouped(rest).mapInArrow(_finder(similarity, floor), "band long, cls binary").distinct(), "bag-close")
+    cross = written(grouped(rest.join(close, ["band", "cls"]).join(sets, "cls"))
+                    .mapInArrow(_joiner(similarity, floor), "a binary, b binary"), "bag-cross")
+    links = seen.filter("linked").select("a", "b").unionByName(cross)
     found = written(connected_components(links), "bag-components")
 
     groups = (classes.join(found.withColumnRenamed("node", "cls"), "cls", "left")
@@ -285,11 +365,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The documents of which one stays per class, with all their columns."""
-    stay = (near_duplicates(docs).filter("kept").groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("_ql_n"))
-            .withColumnsRenamed({"doc_id": "_ql_id", "fp": "_ql_fp"}))
-    left = docs.withColumn("_ql_f", fingerprint(text_or_empty("text")))
-    j = left.join(stay.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("_ql_id"))
-                  & (F.col("_ql_f") == F.col("_ql_fp")))
+    stay = (near_duplicates(docs).filter("kept").groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n"))
+            .withColumnsRenamed({"doc_id": "stay_id", "fp": "stay_fp"}))
+    rows = packed(docs, id=F.col("doc_id").cast("long"), f=fingerprint(text_or_empty("text")))
+    j = rows.join(stay.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("f") == F.col("stay_fp")))
     # rows alike in id and text: as many stay as the operator kept (one, or all if they have no words)
-    some, all_ = j.filter("_ql_n = 1"), j.filter("_ql_n > 1")
-    return some.dropDuplicates(["_ql_id", "_ql_fp"]).select(*docs.columns).unionByName(all_.select(*docs.columns))
+    return (j.filter("n = 1").dropDuplicates(["stay_id", "stay_fp"]).select("row.*")
+            .unionByName(j.filter("n > 1").select("row.*")))
