@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterline.llm.common import fingerprint, packed, text_or_empty, written
-from quarterline.llm.components import connected_components
+from quarterline.llm.components import component_hints, connected_components
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
@@ -320,7 +320,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     seen = tested(star("low").unionByName(star("high").join(buckets.filter("n > 2").select("high").distinct()
                   .withColumnRenamed("high", "b"), "b", "left_semi")).distinct(), "star")
-    roots = written(connected_components(seen.filter("linked").select("a", "b")), "bag-roots")
+    roots = written(component_hints(seen.filter("linked").select("a", "b")), "bag-roots")
     placed = (members.filter("n > 2").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
               .withColumn("root", F.coalesce("root", "cls")).select("band", "cls", "root"))
     split = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
