@@ -33,7 +33,7 @@ class WordEncoder:
     generations of at most ``cap`` chunks bound the memory; frequent chunks move to the young one.
     """
 
-    def __init__(self, path: str, cap: int = 400_000):
+    def __init__(self, path: str, cap: int = 700_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -49,14 +49,14 @@ class WordEncoder:
         """Add chunks: a word with one closing mark is made up of the word's and the mark's ids."""
         made, plain = [], []
         for w in chunks:
-            s = w[:-1]
-            # letters and one closing mark are separate pieces; ASCII letters are lowered one by one
-            if w[-1:] in (".", ",", ";", ":", "!", "?") and s.isascii() and s.isalpha():
-                made.append((w, s.lower(), w[-1]))
-            elif w.isascii() and w.isalpha() and not w.islower():
-                made.append((w, w.lower(), ""))
+            mark = w[-1] if w[-1] in ".,;:!?" else ""
+            s = w[:-1] if mark else w
+            # letters and one closing mark are separate pieces; letters below U+0130 are lowered one by one
+            if s.isalpha() and (mark or not s.islower()):
+                made.append((w, s.lower() if max(s) < "\u0130" else s, mark))
             else:
                 plain.append(w)
+        made = [x for x in made if x[0] != x[1] or plain.append(x[0])]
         need = dict.fromkeys(plain)
         for _, s, mark in made:
             need[s] = None
@@ -81,14 +81,15 @@ class WordEncoder:
                 out += self._ids([t])
                 continue
             words = t.split()
-            missing = set(words).difference(self.young)
-            if missing:
+            try:
+                out.append(b"".join(map(self.young.get, words)))
+            except TypeError:  # None: a chunk that is not remembered
+                missing = set(words).difference(self.young)
                 if len(self.young) > self.cap:
                     self.old, self.young = self.young, {}
                     missing = set(words)
-                self._learn([w for w in missing])
-            young = self.young
-            out.append(b"".join([young[w] for w in words]))
+                self._learn(list(missing))
+                out.append(b"".join(map(self.young.__getitem__, words)))
         return out
 
 
