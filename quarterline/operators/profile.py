@@ -97,42 +97,89 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (
     return wide.selectExpr(*by, f"stack({len(pairs)}, {stack}) AS (col_a, col_b, corr)")
 
 
-def cross_asset_correlation(df: DataFrame, value: str = "close", align: str = "ts",
-                            max_assets_for_aggregate: int = 8) -> DataFrame:
-    """Correlation of ``value`` between every pair of contracts (a1 < a2).
-
-    The panel is pivoted to one row per slot (``align="ts"``) or per row position
-    (``align="position"``, the reference's alignment), then every pair is one aggregate
-    of a single pass: no pair rows are emitted per slot. The contract list comes from
-    the asset dimension. Above ``max_assets_for_aggregate`` contracts the Gram matrix is
-    computed with ``pyspark.ml.stat.Correlation`` (a tree aggregate over the pivoted rows);
-    its n x n result is bounded by the contract space (<= 672 names), not by the data.
-    Constant series give NULL (pandas gives NaN).
+_PAIR = "asset_a string, asset_b string, n double, sa double, sb double, saa double, sbb double, sab double"
+
+
+def _pair_sums():
+    names_out = [c.split()[0] for c in _PAIR.split(", ")]
+
+    def run(batches):
+        """Per task: for every pair of contracts, sums over the slots in which both are present. Rows come
+        sorted by slot; a slot cut by a batch's end waits for the rest. The state is n x n per task, with
+        n the contracts (at most the 672 valid names), whatever the number of slots."""
+        import numpy as np
+        import pyarrow as pa
+
+        index, sums, held = {}, np.zeros((4, 0, 0)), None
+
+        def add(t):
+            nonlocal sums
+            names = t["asset"].to_pylist()
+            for a in set(names) - index.keys():
+                index[a] = len(index)
+            if sums.shape[1] < len(index):
+                grown = np.zeros((4, len(index), len(index)))
+                grown[:, :sums.shape[1], :sums.shape[1]] = sums
+                sums = grown
+            slot = np.unique(t["slot"].to_numpy(), return_inverse=True)[1]
+            x = np.zeros((slot.max() + 1, len(index)))
+            here = np.zeros_like(x)
+            at = slot, [index[a] for a in names]
+            x[at], here[at] = t["x"].to_numpy(), 1.0
+            sums += np.stack([here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x])
+
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = t if held is None else pa.concat_tables([held, t.cast(held.schema)])
+            if t.num_rows:
+                slots = t["slot"].to_numpy()
+                cut = int(np.flatnonzero(slots == slots[-1])[0])
+                if cut:
+                    add(t.slice(0, cut))
+                held = t.slice(cut).combine_chunks()
+        if held is not None and held.num_rows:
+            add(held)
+        names = sorted(index)
+        for k, a in enumerate(names):
+            i, j = index[a], [index[b] for b in names[k + 1:]]
+            n, sab = sums[0, i, j], sums[3, i, j]
+            ok = n > 0
+            cols = (n, sums[1, i, j], sums[1, j, i], sums[2, i, j], sums[2, j, i], sab)
+            if ok.any():
+                other = [b for b, y in zip(names[k + 1:], ok) if y]
+                yield pa.record_batch([pa.array([a] * len(other)), pa.array(other), *[pa.array(c[ok]) for c in cols]],
+                                      names=names_out)
+
+    return run
+
+
+def cross_asset_correlation(df: DataFrame, value: str = "close", align: str = "ts") -> DataFrame:
+    """Pearson correlation of ``value`` between every pair of contracts (a < b) over the slots
+    in which both have a value (pairwise complete), aligned on the slot (``align="ts"``) or on the row
+    position in each contract (``align="position"``).
+
+    One path for any number of contracts: values are shifted by their contract's mean, each task adds
+    up Gram matrices of its slots, and the sums per pair are aggregated. Nothing is collected, no pair
+    row is emitted per slot. A pair without a common slot has no row; constant series give NULL.
     """
-    key = "ts"
     d = df
+    slot = F.unix_micros("ts")
     if align == "position":
         d = df.withColumn("_pos", F.row_number().over(Window.partitionBy("asset").orderBy("ts")))
-        key = "_pos"
-    assets = [r[0] for r in d.select("asset").distinct().orderBy("asset").collect()]
-    wide = d.groupBy(key).pivot("asset", assets).agg(F.first(value))
-    if len(assets) <= max_assets_for_aggregate:
-        pairs = [(a, b) for i, a in enumerate(assets) for b in assets[i + 1:]]
-        wide = wide.select(key, *[F.col(f"`{a}`").alias(f"a{i}") for i, a in enumerate(assets)])
-        pos = {a: i for i, a in enumerate(assets)}
-        aggs = [_corr(F.col(f"a{pos[a]}"), F.col(f"a{pos[b]}")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
-        out = wide.agg(*aggs)
-        stack = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
-        return out.selectExpr(f"stack({len(pairs)}, {stack}) AS (asset_a, asset_b, corr)")
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=assets, outputCol="_v", handleInvalid="skip").transform(
-        wide.fillna(0.0, subset=assets))
-    m = Correlation.corr(vec, "_v").head()[0].toArray()
-    spark = df.sparkSession
-    rows = [(assets[i], assets[j], None if m[i, j] != m[i, j] else float(m[i, j]))
-            for i in range(len(assets)) for j in range(i + 1, len(assets))]
-    return spark.createDataFrame(rows, "asset_a string, asset_b string, corr double")
+        slot = F.col("_pos").cast("long")
+    d = d.select("asset", slot.alias("slot"), F.col(value).cast("double").alias("x")).filter(
+        F.col("x").isNotNull() & ~F.isnan("x") & F.col("asset").isNotNull())
+    mean = d.groupBy("asset").agg(F.avg("x").alias("_mean"))
+    d = d.join(mean, "asset").select("asset", "slot", (F.col("x") - F.col("_mean")).alias("x"))
+    pairs = (d.repartition("slot").sortWithinPartitions("slot").mapInArrow(_pair_sums(), _PAIR)
+             .groupBy("asset_a", "asset_b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")]))
+    spread = lambda q, s: F.col(q) - F.col(s) * F.col(s) / F.col("n")
+    va, vb = spread("saa", "sa"), spread("sbb", "sb")
+    # what rounding leaves of a constant series is not a spread
+    flat = (va <= F.col("saa") * 1e-12) | (vb <= F.col("sbb") * 1e-12)
+    cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")
+    corr = F.when(~flat, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cov / F.sqrt(va * vb))))
+    return pairs.select("asset_a", "asset_b", corr.alias("corr"))
 
 
 def first_rows(df: DataFrame, n: int = 10, trading_only: bool = True) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import profile as PR
 from ..operators.features import featurize
-from ..sources.candles import events_panel
+from ..sources.candles import brand_panel, events_panel
 from . import oracle as O
 from .catalog import register
 from .segment_plans import TRADED_1H, traded_panel
@@ -121,6 +121,29 @@ def a07_cross_asset_corr(spark, sf_dir):
     return PR.cross_asset_correlation(events_panel(spark, sf_dir, 3600)).withColumn("corr", _r6(F.col("corr")))
 
 
+def sparse_corr_sql(contracts: int) -> str:
+    few = f"SELECT * FROM c WHERE asset IN (SELECT DISTINCT asset FROM c ORDER BY asset LIMIT {contracts})"
+    return f"""
+    WITH c AS MATERIALIZED ({O.brand_candles_sql()}), p AS ({few if contracts else "SELECT * FROM c"})
+    SELECT x.asset AS asset_a, y.asset AS asset_b,
+           CASE WHEN stddev_pop(x.close) * stddev_pop(y.close) = 0 THEN NULL ELSE round(corr(x.close, y.close), 6) END
+             AS corr
+    FROM p x JOIN p y ON x.ts = y.ts AND x.asset < y.asset GROUP BY 1, 2"""
+
+
+@register("a07_sparse_corr", sparse_corr_sql(0))
+def a07_sparse_corr(spark, sf_dir):
+    """A7 on the undensified brand candles: pairs over the days on which both traded."""
+    return PR.cross_asset_correlation(brand_panel(spark, sf_dir, dense=False)).withColumn("corr", _r6(F.col("corr")))
+
+
+@register("a07_sparse_corr_first6", sparse_corr_sql(6))
+def a07_sparse_corr_first6(spark, sf_dir):
+    """A7 on the undensified candles of the first six contracts (S16: the limit is the feature)."""
+    few = PR.first_assets(brand_panel(spark, sf_dir, dense=False), 6)
+    return PR.cross_asset_correlation(few).withColumn("corr", _r6(F.col("corr")))
+
+
 @register("k03_first_trading_rows", f"""
     SELECT asset, ts, high, low, close, volume, is_trading, row_in_asset FROM (
       SELECT *, row_number() OVER (PARTITION BY asset ORDER BY ts) AS row_in_asset
