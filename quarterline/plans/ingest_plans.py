@@ -50,15 +50,17 @@ def s01_csv_ingest_roundtrip(spark, sf_dir):
 
 
 @register("s08_ingest_report", f"""
-    SELECT count(*) AS rows, ceil(count(*) / 200000)::BIGINT AS chunks, count(DISTINCT asset) AS assets,
+    SELECT count(*) + 2 AS rows_read, 2::BIGINT AS no_id, 0::BIGINT AS bad_time, 0::BIGINT AS bad_number,
+           count(*) AS rows, ceil(count(*) / 200000)::BIGINT AS chunks, count(DISTINCT asset) AS assets,
            0::BIGINT AS assets_skipped FROM ({O.event_panel_sql(QUARTER)})""")
 def s08_ingest_report(spark, sf_dir):
-    """Rows, chunk-equivalents, contracts written, contracts skipped (NULL ids dropped)."""
+    """Rows read, without id, with unreadable values and written, chunk-equivalents, contracts."""
     return ingest_csv(spark, raw_csv_export(spark, sf_dir), scratch_path(spark, "panel"))
 
 
 @register("s06_incremental_skip", f"""
-    SELECT 0::BIGINT AS rows, 0::BIGINT AS chunks, 0::BIGINT AS assets,
+    SELECT count(*) + 2 AS rows_read, 2::BIGINT AS no_id, 0::BIGINT AS bad_time, 0::BIGINT AS bad_number,
+           0::BIGINT AS rows, 0::BIGINT AS chunks, 0::BIGINT AS assets,
            count(DISTINCT asset) AS assets_skipped FROM ({O.event_panel_sql(QUARTER)})""")
 def s06_incremental_skip(spark, sf_dir):
     """A second ingest without ``force`` skips every contract already in the table."""
@@ -88,13 +90,15 @@ def s12_split_write(spark, sf_dir):
                                               F.sum("is_trading").alias("trading_rows"))
 
 
-@register("s18_segment_writer", f"""
-    SELECT asset, ts, split, segment_id FROM (
-      SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-22' THEN 'train' ELSE 'val' END AS split
-      FROM ({O.islands_sql(TRADED_1H)})) WHERE is_trading = 1 AND island_len >= {MIN_SEG}""".replace(
-    "SELECT asset, ts, split, segment_id", "SELECT asset, ts, split, island_no AS segment_id"))
+def _islands_of(split: str, cond: str) -> str:
+    rows = f"SELECT * FROM ({TRADED_1H}) WHERE ts {cond} TIMESTAMP '2024-01-22'"
+    return (f"SELECT asset, ts, '{split}' AS split, island_no AS segment_id FROM ({O.islands_sql(rows)}) "
+            f"WHERE is_trading = 1 AND island_len >= {MIN_SEG}")
+
+
+@register("s18_segment_writer", f"{_islands_of('train', '<')} UNION ALL {_islands_of('val', '>=')}")
 def s18_segment_writer(spark, sf_dir):
-    """Rows inside trading segments >= 4 written per split and contract."""
+    """Rows inside trading segments >= 4 of each split (split first), written per split and contract."""
     out = scratch_path(spark, "segments")
     write_trading_segments(traded_panel(spark, sf_dir).withColumn(
         "split", F.when(F.col("ts") < F.to_timestamp(F.lit("2024-01-22")), "train").otherwise("val")), out, MIN_SEG)
@@ -129,7 +133,7 @@ def t1_stream_ingest(spark, sf_dir):
     micro-batch); its end state equals the batch ingest."""
     csv = raw_csv_export(spark, sf_dir)
     out, ck = scratch_path(spark, "stream-panel"), scratch_path(spark, "stream-ck")
-    stream_ingest_csv(spark, csv, out, ck, extra_cols=("venue",))
+    stream_ingest_csv(spark, csv, out, ck)
     return read_panel(spark, out).select(*PANEL_COLS)
 
 

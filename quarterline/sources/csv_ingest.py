@@ -9,26 +9,48 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..functions.joins import join_small
 from ..schema import TARGETS
 from ..session import ensure_utc
 
 
-def read_raw_csv(spark: SparkSession, path: str, id_col: str = "ID", timestamp_col: str = "ExecutionTime",
-                 target_cols: Sequence[str] = TARGETS, timestamp_format: str | None = None) -> DataFrame:
-    """Header CSV scan; columns picked by name (extra columns are pruned at the scan),
-    timestamp parsed on the UTC clock, numeric targets as DOUBLE, NULL contracts dropped."""
+def _by_header(spark: SparkSession, path: str) -> DataFrame:
+    """All CSV files under ``path`` with their columns by name: files are grouped by header line, so a
+    file with another column order is read by its own. Only names and header lines reach the driver."""
+    read = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    files = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.csv*").load(path).select("path").collect()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in sorted(files):
+        groups.setdefault(tuple(read.csv(f).columns), []).append(f)
+    parts = [read.csv(fs) for h, fs in groups.items() if h]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else read.csv(path)
+
+
+def read_raw_rows(spark: SparkSession, path: str, id_col: str = "ID", timestamp_col: str = "ExecutionTime",
+                  target_cols: Sequence[str] = TARGETS, timestamp_format: str | None = None) -> DataFrame:
+    """Header CSV scan, columns by name, timestamp parsed on the UTC clock, numeric targets as
+    DOUBLE; ``bad_time`` and ``bad_number`` flag values that are there but cannot be read."""
     ensure_utc(spark)
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    raw = _by_header(spark, path)
     ts = (F.try_to_timestamp(F.col(timestamp_col), F.lit(timestamp_format)) if timestamp_format
           else F.try_to_timestamp(F.col(timestamp_col)))
-    out = raw.select(F.col(id_col).alias("asset"), ts.alias("ts"),
-                     *[F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) for c in target_cols])
-    return out.filter(F.col("asset").isNotNull() & F.col("ts").isNotNull())
+    numbers = {c: F.expr(f"try_cast(`{c}` AS DOUBLE)") for c in target_cols}
+    bad = reduce(lambda a, b: a | b, [F.col(c).isNotNull() & x.isNull() for c, x in numbers.items()])
+    return raw.select(F.col(id_col).alias("asset"), ts.alias("ts"), *[x.alias(c) for c, x in numbers.items()],
+                      ts.isNull().alias("bad_time"), bad.alias("bad_number"))
+
+
+def read_raw_csv(spark: SparkSession, path: str, **kw) -> DataFrame:
+    """``read_raw_rows`` without rows that lack a contract or a readable time."""
+    rows = read_raw_rows(spark, path, **kw)
+    return rows.filter(F.col("asset").isNotNull() & ~F.col("bad_time")).drop("bad_time", "bad_number")
 
 
 def _sorted_for_write(df: DataFrame, parts: Sequence[str]) -> DataFrame:
@@ -38,61 +60,80 @@ def _sorted_for_write(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *parts).sortWithinPartitions(*parts, "ts")
 
 
-def write_panel(df: DataFrame, out: str, mode: str = "overwrite", extra_partitions: Sequence[str] = ()) -> None:
+def write_panel(df: DataFrame, out: str, mode: str = "overwrite", extra_partitions: Sequence[str] = (),
+                clear: bool = False) -> None:
     """Shuffle by contract, sort each contract by time, snappy Parquet partitioned by
-    (extra..., asset). ``mode="overwrite"`` replaces only the partitions written (dynamic)."""
+    (extra..., asset). ``mode="overwrite"`` replaces the partitions written, with ``clear`` the table."""
     parts = [*extra_partitions, "asset"]
-    _write_sorted(_sorted_for_write(df, parts), out, mode, parts)
+    _write_sorted(_sorted_for_write(df, parts), out, mode, parts, clear)
 
 
-def _write_sorted(df: DataFrame, out: str, mode: str, parts: Sequence[str]) -> None:
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode(mode).option("compression", "snappy").partitionBy(*parts).parquet(out)
+def _write_sorted(df: DataFrame, out: str, mode: str, parts: Sequence[str], clear: bool) -> None:
+    (df.write.mode(mode).option("compression", "snappy")
+     .option("partitionOverwriteMode", "static" if clear else "dynamic").partitionBy(*parts).parquet(out))
 
 
 def existing_assets(spark: SparkSession, out: str) -> DataFrame | None:
+    """Contracts of the table; None where there is no table. A damaged table is an error, not a new one."""
     try:
         return spark.read.parquet(out).select("asset").distinct()
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA") and not _has_files(spark, out):
+            return None
+        raise
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                    .option("pathGlobFilter", "*.parquet").load(path).select("path").head(1))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def ingest_csv(spark: SparkSession, csv_path: str, out: str, force: bool = True, chunksize: int = 200_000,
                **read_kw) -> DataFrame:
-    """Ingest, skip contracts already written unless ``force`` (S6), return the
-    ingest report (S8): rows, chunk count equivalent, contracts, contracts skipped.
+    """Ingest, skip contracts already written unless ``force`` (S6, which clears the table, S13),
+    and return the report (S8): rows read and what became of them.
 
-    The raw files are read once: the report comes from observations on the write job itself.
-    Contract sets are observed before the shuffle (a set union is unaffected by a re-run map
-    task); the row count is observed in the write stage, where each task counts exactly once.
-    The sets hold one name per contract (the series dimension), not rows.
+    rows_read, no_id, bad_time (rows left out: no contract, unreadable time), bad_number (kept, the
+    value NULL), rows (written), chunks, assets (contracts written), assets_skipped. The raw files are
+    read once; the counts are observed on the write job. Contracts are counted from the table's
+    partitions; only with ``force=False`` the id column is read again for the skipped ones.
     """
-    df = read_raw_csv(spark, csv_path, **read_kw)
+    raw = read_raw_rows(spark, csv_path, **read_kw)
     have = None if force else existing_assets(spark, out)
+    before = 0 if have is None else have.count()
+    seen, kept = Observation("ingest_read"), Observation("ingest_rows")
+    no_id = F.col("asset").isNull()
+    df = (raw.observe(seen, *_read_counts())
+          .filter(~no_id & ~F.col("bad_time")).drop("bad_time", "bad_number"))
+    skipped = 0
     if have is not None:
-        df = join_small(df, have.withColumn("_have", F.lit(True)), on="asset", how="left")
-    else:
-        df = df.withColumn("_have", F.lit(None).cast("boolean"))
-    sets = Observation("ingest_contracts")
-    df = df.observe(sets, F.size(F.collect_set(F.when(F.col("_have").isNull(), F.col("asset")))).alias("assets"),
-                    F.size(F.collect_set(F.when(F.col("_have"), F.col("asset")))).alias("skipped"))
-    fresh = df.filter(F.col("_have").isNull()).drop("_have")
-    rows_obs = Observation("ingest_rows")
-    sorted_rows = _sorted_for_write(fresh, ["asset"]).observe(rows_obs, F.count(F.lit(1)).alias("rows"))
-    _write_sorted(sorted_rows, out, "overwrite" if force else "append", ["asset"])
-    rows = int(rows_obs.get["rows"])
-    if rows > 0:
-        m = sets.get
-        assets, skipped = int(m["assets"]), int(m["skipped"])
-    else:
-        # nothing written: AQE replaces the empty shuffle stage by an empty relation and its
-        # observation is not reported, so count from the contract lists (contract column only)
-        assets = 0
-        skipped = 0 if have is None else (read_raw_csv(spark, csv_path, **read_kw).select("asset").distinct()
-                                          .join(have, "asset", "left_semi").count())
+        df = df.join(have, "asset", "left_anti")
+        skipped = have.join(read_raw_csv(spark, csv_path, **read_kw).select("asset").distinct(), "asset", "left_semi").count()
+    sorted_rows = _sorted_for_write(df, ["asset"]).observe(kept, F.count(F.lit(1)).alias("rows"))
+    _write_sorted(sorted_rows, out, "overwrite" if force else "append", ["asset"], clear=force)
+    rows = int(kept.get["rows"])
+    if rows:
+        counts = seen.get
+        assets = spark.read.parquet(out).select("asset").distinct().count() - before
+    else:  # AQE drops an empty stage together with its observation
+        assets, counts = 0, raw.agg(*_read_counts()).first().asDict()
     return spark.createDataFrame(
-        [(rows, math.ceil(rows / chunksize) if rows else 0, assets, skipped)],
-        "rows long, chunks long, assets long, assets_skipped long")
+        [(int(counts["rows_read"]), int(counts["no_id"]), int(counts["bad_time"]), int(counts["bad_number"]), rows,
+          math.ceil(rows / chunksize) if rows else 0, assets, skipped)],
+        "rows_read long, no_id long, bad_time long, bad_number long, rows long, chunks long, assets long, "
+        "assets_skipped long")
+
+
+def _read_counts() -> list:
+    no_id = F.col("asset").isNull()
+    return [F.count(F.lit(1)).alias("rows_read"), F.count_if(no_id).alias("no_id"),
+            F.count_if(~no_id & F.col("bad_time")).alias("bad_time"),
+            F.count_if(~no_id & ~F.col("bad_time") & F.col("bad_number")).alias("bad_number")]
 
 
 def asset_manifest(panel: DataFrame, out: str | None = None) -> DataFrame:
@@ -106,11 +147,9 @@ def asset_manifest(panel: DataFrame, out: str | None = None) -> DataFrame:
 def read_panel(spark: SparkSession, root: str, assets: Sequence[str] | None = None,
                manifest: str | None = None, required: Sequence[str] = ("ts",)) -> DataFrame:
     """Scan the partitioned table (contract = partition column), restrict to an asset
-    list (explicit -> manifest -> everything) with a semi join, skip unreadable files and fail
-    loudly when a required column is missing."""
-    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
-    spark.conf.set("spark.sql.files.ignoreMissingFiles", "true")
-    df = spark.read.parquet(root)
+    list (explicit -> manifest -> everything) with a semi join, skip unreadable files (this read only;
+    ``skipped_files`` names them) and fail loudly when a required column is missing."""
+    df = _lenient(spark).parquet(root)
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"table {root} lacks required columns {missing}")
@@ -123,6 +162,19 @@ def read_panel(spark: SparkSession, root: str, assets: Sequence[str] | None = No
     return df
 
 
+def _lenient(spark: SparkSession):
+    return spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+
+
+def skipped_files(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
+    """S11 report: (path) of the table's files that a lenient scan could not read a row from."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+             .load(root).select(F.regexp_replace("path", "^file:/+", "file:/").alias("path")))
+    reader = _lenient(spark).schema(schema) if schema is not None else _lenient(spark)
+    read = reader.parquet(root).select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("path")).distinct()
+    return files.join(read, "path", "left_anti")
+
+
 def needs_refresh(source: DataFrame, filtered: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Rebuild the filtered table when it holds fewer than 90 % of the source contracts."""
     # one pass, no join: tag both inputs, reduce to one row per contract, then count

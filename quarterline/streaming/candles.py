@@ -8,6 +8,8 @@ older than the watermark is dropped. The latest version of each candle is the re
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,19 +29,26 @@ def candle_stream(ticks: DataFrame, window: str = "15 minutes", lateness: str =
 
 
 def stream_event_candles(spark: SparkSession, events_path: str, out: str, checkpoint: str,
-                         window: str = "15 minutes", n_contracts: int = 24, lateness: str = "30 minutes") -> None:
+                         window: str = "15 minutes", n_contracts: int = 24, lateness: str = "30 minutes",
+                         max_files_per_trigger: int | None = None) -> int:
     """Run the candle stream over the ``events`` files (availableNow) into an append-only table
-    of candle versions (asset, ts, ..., batch_id)."""
+    of candle versions (asset, ts, ..., batch_id); returns the rows that came too late.
+
+    Without ``max_files_per_trigger`` the whole backlog is one micro-batch: files in any order of
+    time are complete, since the watermark moves only between batches. With a limit, files should
+    arrive in order of time up to ``lateness``; what is later is dropped by the watermark and counted.
+    """
     ensure_utc(spark)
-    import os
     schema = spark.read.parquet(events_path).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-    if os.path.isfile(events_path):
-        # a single local file: stream its folder, filtered to that file name
-        folder, name = os.path.split(events_path.rstrip("/"))
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    # a file source streams a folder: the table's own, or a single file's with a filter on its name
+    folder, _, name = events_path.rstrip("/").rpartition("/")
+    if events_path.rstrip("/") in {f.rstrip("/") for f in _plain(spark.read.parquet(events_path).inputFiles(), events_path)}:
         ev = reader.option("pathGlobFilter", name).parquet(folder)
     else:
-        ev = reader.parquet(events_path)  # a table folder (the cluster case)
+        ev = reader.parquet(events_path)
     ticks = ev.select(contract_name_for_int(F.pmod(F.col("user_id"), F.lit(n_contracts))).alias("asset"),
                       F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"),
                       F.col("event_id").alias("seq"))
@@ -51,6 +60,12 @@ def stream_event_candles(spark: SparkSession, events_path: str, out: str, checkp
     q = (candles.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(sink).trigger(availableNow=True).start())
     q.awaitTermination()
+    return sum(int(s["numRowsDroppedByWatermark"]) for p in q.recentProgress for s in p["stateOperators"])
+
+
+def _plain(files: list[str], like: str) -> list[str]:
+    """Input files in the form of ``like``: a plain path names no scheme."""
+    return files if "://" in like or like.startswith("file:") else [re.sub(r"^file:/+", "/", f) for f in files]
 
 
 def latest_candles(versions: DataFrame) -> DataFrame:

@@ -20,12 +20,16 @@ from ..session import ensure_utc
 
 def stream_ingest_csv(spark: SparkSession, landing: str, out: str, checkpoint: str,
                       id_col: str = "ID", timestamp_col: str = "ExecutionTime",
-                      target_cols: Sequence[str] = TARGETS, extra_cols: Sequence[str] = (),
-                      max_files_per_trigger: int = 1) -> None:
+                      target_cols: Sequence[str] = TARGETS, max_files_per_trigger: int = 1) -> None:
+    """The schema is the header line of the landing folder, so columns go by name; a file with another
+    header stops the stream (``enforceSchema`` off) instead of moving its values to other columns."""
     ensure_utc(spark)
-    cols = [id_col, timestamp_col, *target_cols, *extra_cols]
+    cols = spark.read.option("header", True).csv(landing).columns
+    missing = {id_col, timestamp_col, *target_cols} - set(cols)
+    if missing:
+        raise ValueError(f"no column {sorted(missing)} in the files of {landing}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-    src = (spark.readStream.schema(schema).option("header", True)
+    src = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
            .option("maxFilesPerTrigger", max_files_per_trigger).csv(landing))
     rows = (src.select(F.col(id_col).alias("asset"), F.try_to_timestamp(F.col(timestamp_col)).alias("ts"),
                        *[F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) for c in target_cols])
