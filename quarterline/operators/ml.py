@@ -40,7 +40,7 @@ def gbt_forecast(train: DataFrame, val: DataFrame, target: str = "close", lags:
         StringIndexer(inputCol="asset", outputCol="asset_ix", handleInvalid="keep"),
         VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"),
         GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, seed=seed)])
-    tr = lag_features(train, target, lags, horizon)
+    tr = lag_features(train, target, lags, horizon).filter(F.col("label_mask") == 1)  # labels that count
     model = pipe.fit(tr)
     va = lag_features(val, target, lags, horizon)
     return model.transform(va).select("asset", "ts", "label_ts", "label", "label_mask", "prediction")

@@ -20,13 +20,16 @@ def by_asset():
 
 
 def fill_series(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("asset",)) -> DataFrame:
-    """F15 + W1 + W2: non-finite -> NULL, forward fill, then backward fill, then 0."""
+    """F15 + W1 + W2: non-finite -> NULL, forward fill, then backward fill, then 0.
+
+    The backward fill only matters before a series' first value, and there it is the first value
+    of the whole series: one pass per partition instead of a frame evaluated anew for each row."""
     w = Window.partitionBy(*by).orderBy("ts")
     before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     out = df.withColumns({c: non_finite_to_null(c) for c in cols})
     return out.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(before),
-                                          F.first(c, ignorenulls=True).over(after), F.lit(0.0))
+                                          F.first(c, ignorenulls=True).over(whole), F.lit(0.0))
                             for c in cols})
 
 

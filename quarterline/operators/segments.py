@@ -49,10 +49,10 @@ def with_segments(df: DataFrame, keys=("asset",)) -> DataFrame:
     return df.withColumn("segment_length", F.when(F.col("is_trading") == 1, length).cast("long")).drop("_sid")
 
 
-def trading_segments(df: DataFrame, min_segment_length: int = 96) -> DataFrame:
+def trading_segments(df: DataFrame, min_segment_length: int = 96, keys=("asset",)) -> DataFrame:
     """Rows of trading islands with at least ``min_segment_length`` rows (U2: the
     segments of a contract are simply its rows with a segment id)."""
-    return with_segments(df).filter(F.col("segment_length") >= min_segment_length)
+    return with_segments(df, keys).filter(F.col("segment_length") >= min_segment_length)
 
 
 def segment_stats(df: DataFrame, min_segment_length: int = 96) -> DataFrame:

@@ -182,9 +182,12 @@ def r14_gbt_forecast(spark, sf_dir):
 @register("r15_ridge_stack")
 def r15_ridge_stack(spark, sf_dir):
     """Ridge stack of naive, calendar-mean and quantile-median forecasts (trained on training
-    windows, joined on (window, h, target) as in J11), scored on validation windows."""
+    windows, joined on (window, h, target) as in J11), scored on validation windows. The calendar
+    profile is fitted on the first two weeks and the ridge on the rest of the training split, on steps
+    that count (m = 1): no label is inside an input of its own row."""
     sp = split_panel(spark, sf_dir)
-    prof = FC.calendar_profile(sp.filter("split = 'train'"))
+    early = F.col("ts") < F.to_timestamp(F.lit("2024-01-15"))
+    prof = FC.calendar_profile(sp.filter("split = 'train'").filter(early))
 
     def frames(rows):
         base = FC.with_origins(rows, EVAL)
@@ -198,7 +201,7 @@ def r15_ridge_stack(spark, sf_dir):
                  .join(q.select(*keys, F.col("p").alias("p_quantile")), keys)
                  .join(c.select(*keys, F.col("p").alias("p_calendar")), keys))
 
-    tr = frames(sp.filter("split = 'train'").drop("split"))
+    tr = frames(sp.filter("split = 'train'").filter(~early).drop("split")).filter("m = 1")
     va = frames(sp.filter("split = 'val'").drop("split"))
     pred = ridge_stack(tr, va, ["p_naive", "p_quantile", "p_calendar"], reg_param=1.0)
     ev = pred.select("target", "y", F.col("prediction").alias("p"), "m")

@@ -114,7 +114,7 @@ def features_sql(panel_sql: str, k_max: int = 6, fill: float = -1.0, round_mean:
     WITH panel AS ({panel_sql}),
     dim AS ({dim_sql('panel')}),
     tf AS ({time_features_sql('panel', 'dim')}),
-    ff AS (SELECT *,
+    ff AS MATERIALIZED (SELECT *,
              last_value(nullif(close, 0) IGNORE NULLS) OVER w AS lc,
              last_value(nullif(volume, 0) IGNORE NULLS) OVER w AS lv
            FROM tf WINDOW w AS (PARTITION BY asset ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),

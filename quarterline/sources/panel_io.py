@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +31,9 @@ def read_json_report(spark: SparkSession, path: str, default: dict | None = None
         df = r.json(path)
         if df.head(1):
             return df
-    except Exception:  # noqa: BLE001 - missing path -> default
-        pass
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
     default = default or {}
     if schema:
         return spark.createDataFrame([tuple(default.get(f.strip().split()[0]) for f in schema.split(","))], schema)
@@ -45,13 +47,15 @@ def write_split(df: DataFrame, out: str) -> None:
 
 def write_trading_segments(df: DataFrame, out: str, min_segment_length: int = 96,
                            assets: Sequence[str] | None = None) -> DataFrame:
-    """Keep rows of trading segments >= min length (train and val), optional contract list."""
+    """Keep rows of trading segments >= min length, optional contract list. Segments are found
+    in each split on its own: none runs across a split's edge."""
     d = df
     if assets is not None:
         keep = df.sparkSession.createDataFrame([(a,) for a in assets], "asset string")
         d = d.join(F.broadcast(keep), "asset", "left_semi")  # explicit list
-    seg = trading_segments(d, min_segment_length).drop("change", "segment_length")
-    write_panel(seg, out, extra_partitions=("split",) if "split" in seg.columns else ())
+    split = ("split",) if "split" in d.columns else ()
+    seg = trading_segments(d, min_segment_length, (*split, "asset")).drop("change", "segment_length")
+    write_panel(seg, out, extra_partitions=split)
     return seg
 
 
@@ -61,10 +65,8 @@ def write_subsampled(df: DataFrame, out: str, strategy: str,
     own, like one file per contract and split), one write, and the report: rows and
     contracts per split, plus the contracts skipped (no rows after sampling)."""
     parts = ["split"] if "split" in df.columns else []
-    if parts:
-        from functools import reduce
-        s = reduce(DataFrame.unionByName,
-                   [apply_strategy(df.filter(F.col("split") == sp), strategy, **kwargs) for sp in splits])
+    if parts:  # one pass: every window of the strategy is keyed by (split, asset)
+        s = apply_strategy(df.filter(F.col("split").isin(list(splits))), strategy, keys=("split", "asset"), **kwargs)
     else:
         s = apply_strategy(df, strategy, **kwargs)
     write_panel(s, out, extra_partitions=tuple(parts))
