@@ -71,6 +71,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage with a Parquet table in the shared folder (survives executor loss); later scans
+    read only the columns and row groups they need."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
