@@ -151,7 +151,7 @@ def score_external(windows: DataFrame, forecaster: Callable, levels: Sequence[fl
         for pdf in batches:
             if pdf.empty:
                 continue
-            past = np.stack([np.stack(list(x)) for x in pdf["past"]]).astype("float32")
+            past = np.stack([np.stack(list(x)) for x in pdf["past"]]).astype("float64")
             out = np.asarray(forecaster(past, horizon, qlist), dtype="float64")  # [B, C, H, Q]
             B, C, H, Q = out.shape
             wid = np.repeat(pdf["window_id"].to_numpy(), C * H * Q)

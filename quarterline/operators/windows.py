@@ -63,7 +63,7 @@ def supervised_windows(df: DataFrame, p: WindowParams = WindowParams()) -> DataF
     if p.contiguous:
         d = d.withColumn("_gap", F.max(F.when(F.col("is_trading") == 0, 1).otherwise(0)).over(frame))
         d = d.filter(F.col("_gap") == 0)
-    d = d.filter(F.col("is_start") & (F.size("_w") == span))
+    d = d.filter("is_start")  # implies that the frame holds span rows
     if "idx" not in d.columns:
         d = with_asset_index(d)
     past = F.slice("_w", 1, L_in)

@@ -23,14 +23,6 @@ def trading_windows(spark, sf_dir):
     return supervised_windows(S.trading_only(traded_panel(spark, sf_dir)), WIN)
 
 
-@register("w08_supervised_windows")
-def w08_supervised_windows(spark, sf_dir):
-    """W8 + R1 + R2: windows [24 past, 10 future] x 4 targets (FLOAT) with masks and past
-    timestamps, on the trading-only rows (positions bridge time gaps, as in the reference).
-    Checked field by field through ``w08_window_digest``."""
-    return trading_windows(spark, sf_dir)
-
-
 _WIN_BASE = f"""
     WITH v AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY ts) - 1 AS pos,
                       count(*) OVER (PARTITION BY asset) AS n_rows FROM ({TRADING_ROWS_SQL})),
@@ -39,6 +31,28 @@ _WIN_BASE = f"""
           FROM v JOIN d USING (asset) WHERE v.pos + 34 <= v.n_rows AND v.n_rows >= 34)"""
 
 
+@register("w08_supervised_windows", f"""{_WIN_BASE}
+    SELECT w.window_id, w.start_pos, (v.pos - w.start_pos)::INTEGER AS position, v.pos < w.start_pos + 24 AS is_past,
+           CASE WHEN v.pos < w.start_pos + 24 THEN v.ts END AS past_ts, v.is_trading::DOUBLE AS mask,
+           v.high::FLOAT::DOUBLE AS high, v.low::FLOAT::DOUBLE AS low, v.close::FLOAT::DOUBLE AS close,
+           v.volume::FLOAT::DOUBLE AS volume
+    FROM w JOIN v ON v.asset = w.asset AND v.pos BETWEEN w.start_pos AND w.start_pos + 33""")
+def w08_supervised_windows(spark, sf_dir):
+    """W8 + R1 + R2: windows [24 past, 10 future] x 4 targets (FLOAT) with masks and past
+    timestamps, on the trading-only rows (positions bridge time gaps, as in the reference);
+    every step of every window as a row, in the order of the arrays."""
+    w = trading_windows(spark, sf_dir)
+    steps = F.posexplode(F.concat(*[F.arrays_zip(F.col(part).alias("v"), F.col(f"{part}_mask").alias("m"))
+                                    for part in ("past", "future")]))
+    s = w.select("window_id", "start_pos", "past_ts", steps.alias("position", "step"))
+    value = lambda k: F.element_at("step.v", k).cast("double")
+    past = F.col("position") < 24
+    return s.select("window_id", "start_pos", "position", past.alias("is_past"),
+                    F.when(past, F.get("past_ts", F.col("position"))).alias("past_ts"),
+                    F.array_max("step.m").cast("double").alias("mask"), value(1).alias("high"), value(2).alias("low"),
+                    value(3).alias("close"), value(4).alias("volume"))
+
+
 @register("w08_window_digest", f"""{_WIN_BASE}
     SELECT w.window_id, w.asset, w.start_pos,
            sum(CASE WHEN v.pos < w.start_pos + 24 THEN v.is_trading::FLOAT END)::DOUBLE AS past_mask_sum,

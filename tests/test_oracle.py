@@ -29,7 +29,7 @@ def con():
 def test_every_plan_registered_with_sql_or_listed():
     rows_only = set(QUERIES) - set(ORACLES)
     rows_only = {n for n in rows_only if n != "pipeline" and not n.startswith("op")}  # tests/llm has those
-    assert rows_only <= {"w08_supervised_windows", "r14_gbt_forecast", "r15_ridge_stack"}, rows_only
+    assert rows_only <= {"r14_gbt_forecast", "r15_ridge_stack"}, rows_only
     assert set(ORACLES) <= set(QUERIES)
 
 

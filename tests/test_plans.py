@@ -2,6 +2,8 @@
 
 import re
 
+import __spark_entry__ as E
+
 from conftest import SF_SMALL
 
 
@@ -60,3 +62,15 @@ def test_incremental_ingest_partial_skip(spark):
     assert (r1.rows, r1.assets, r1.assets_skipped) == (n_first, 5, 0)
     assert (r2.rows, r2.assets, r2.assets_skipped) == (n_rest, len(names) - 5, 5)
     assert spark.read.parquet(out).count() == n_first + n_rest
+
+
+def test_window_ids_need_no_arrays(spark):
+    for name in ("r05_batches_shards", "r06_epoch_shuffle_order"):
+        plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "collect_list" not in plan, name
+
+
+def test_panels_are_pruned_scans(spark):
+    df = E.queries()["a08_scalers"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "FileScan parquet" in plan
