@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_small
 from ..functions.cleaning import covariate_columns, non_finite_to_null
 from ..schema import TARGETS
 from .sampling import apply_strategy
@@ -69,28 +70,29 @@ def reclock_by(df: DataFrame, start, step_minutes: int, by: Sequence[str] = ("as
         F.lit(0), F.lit(0), (n * step_minutes).cast("int"), F.lit(0)))
 
 
-def segment_training_set(train: DataFrame, val: DataFrame, min_segment_length: int, target_total_rows: int,
-                         target_n_assets: int, input_chunk_length: int, output_chunk_length: int) -> DataFrame:
-    """A10 -> W7 -> segment rows of the chosen contracts (train); validation = its segments,
-    or the full validation rows when it has none, or the training rows when it is missing (J8);
-    then the A11 window counts per split and contract.
-
-    One pass: the segments of both splits come from one window keyed by (split, contract) and
-    are reduced to one summary row per contract; the choice (W7) and the fallback rules run on
-    that summary, so no row set is unioned or joined back.
-    """
+def _segment_choice(train: DataFrame, val: DataFrame, min_segment_length: int, target_total_rows: int,
+                    target_n_assets: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of both splits with ``kept`` (in a long enough segment of their split), and one row per
+    chosen contract (W7): trading_rows, _va_seg, _va_all. One window keyed by (split, contract)."""
     both = (train.withColumn("split", F.lit("train"))
             .unionByName(val.withColumn("split", F.lit("val")), allowMissingColumns=True))
-    seg = with_segments(both, keys=("split", "asset"))
-    kept = F.coalesce(F.col("segment_length") >= min_segment_length, F.lit(False))
+    seg = with_segments(both, keys=("split", "asset")).withColumn(
+        "kept", F.coalesce(F.col("segment_length") >= min_segment_length, F.lit(False)))
     is_tr, is_va = F.col("split") == "train", F.col("split") == "val"
     per_asset = (seg.groupBy("asset")
-                 .agg(F.count_if(is_tr & kept).alias("trading_rows"),
-                      F.count_if(is_tr & kept & (F.col("change") == 1)).alias("n_segments"),
-                      F.count_if(is_va & kept).alias("_va_seg"),
+                 .agg(F.count_if(is_tr & F.col("kept")).alias("trading_rows"),
+                      F.count_if(is_tr & F.col("kept") & (F.col("change") == 1)).alias("n_segments"),
+                      F.count_if(is_va & F.col("kept")).alias("_va_seg"),
                       F.count_if(is_va).alias("_va_all"))
                  .filter(F.col("n_segments") > 0))
-    chosen = select_best(per_asset, target_total_rows, target_n_assets)
+    return seg, select_best(per_asset, target_total_rows, target_n_assets)
+
+
+def segment_training_set(train: DataFrame, val: DataFrame, min_segment_length: int, target_total_rows: int,
+                         target_n_assets: int, input_chunk_length: int, output_chunk_length: int) -> DataFrame:
+    """P8, counts: rows and window counts (A11) per split and chosen contract; validation = its segments,
+    or the full validation rows when it has none, or the training rows when it is missing (J8)."""
+    _, chosen = _segment_choice(train, val, min_segment_length, target_total_rows, target_n_assets)
     val_rows = (F.when(F.col("_va_seg") > 0, F.col("_va_seg"))
                  .when(F.col("_va_all") > 0, F.col("_va_all"))
                  .otherwise(F.col("trading_rows")))
@@ -101,3 +103,26 @@ def segment_training_set(train: DataFrame, val: DataFrame, min_segment_length: i
     return (counts.filter(F.col("n_rows") > 0)
                   .select("split", "asset", "n_rows",
                           F.greatest(F.lit(0), F.col("n_rows") - F.lit(span - 1)).cast("long").alias("n_windows")))
+
+
+def segment_training_rows(train: DataFrame, val: DataFrame, min_segment_length: int, target_total_rows: int,
+                          target_n_assets: int, starts: dict[str, str] | None = None, step_minutes: int = 15,
+                          targets: Sequence[str] = TARGETS) -> DataFrame:
+    """P8, rows: the chosen contracts' segment rows (train) and validation rows by the same rules,
+    numeric columns cleaned and filled (F15, W1, W2), as FLOAT (F16), on a continuous clock (W9)."""
+    starts = starts or {"train": "2020-01-01 00:00:00", "val": "2021-01-01 00:00:00"}
+    seg, chosen = _segment_choice(train, val, min_segment_length, target_total_rows, target_n_assets)
+    j = join_small(seg, chosen.select("asset", "_va_seg", "_va_all"), "asset", "inner", known_rows=target_n_assets)
+    is_tr, is_va = F.col("split") == "train", F.col("split") == "val"
+    by_segment, whole = F.col("_va_seg") > 0, (F.col("_va_seg") == 0) & (F.col("_va_all") > 0)
+    sides = F.array_compact(F.array(
+        F.when(is_tr & F.col("kept"), F.lit("train")),
+        F.when(is_va & ((by_segment & F.col("kept")) | whole), F.lit("val")),
+        F.when(is_tr & F.col("kept") & ~by_segment & ~whole, F.lit("val"))))
+    rows = j.withColumn("split", F.explode(sides)).drop("kept", "_va_seg", "_va_all", "change", "segment_id", "segment_length")
+    num = [*targets, *[c for c in covariate_columns(rows, targets) if c not in ("idx", "n_assets")]]
+    num = [c for c in num if dict(rows.dtypes).get(c) in ("double", "float", "int", "bigint")]
+    filled = fill_series(rows, num, by=("split", "asset")).withColumn("orig_ts", F.col("ts"))
+    filled = filled.withColumns({c: F.col(c).cast("float") for c in num})
+    start = F.coalesce(*[F.when(F.col("split") == s, F.to_timestamp(F.lit(t0))) for s, t0 in starts.items()])
+    return reclock_by(filled, start, step_minutes, by=("split", "asset"))

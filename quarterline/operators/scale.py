@@ -54,21 +54,3 @@ def apply_scalers(df: DataFrame, scalers: DataFrame, targets: Sequence[str] = TA
     return out.drop(*[c for c in out.columns if c.startswith("_mean_") or c.startswith("_scale_")])
 
 
-def apply_scalers_long(values: DataFrame, scalers: DataFrame, value_col: str = "value",
-                       inverse: bool = True) -> DataFrame:
-    """R4 on the long forecast form ``(asset, target, value)``."""
-    s = scalers.select("asset", "target", F.col("mean").alias("_m"), F.col("scale").alias("_s"))
-    j = join_small(values, s, on=["asset", "target"], how="left")
-    m, sc = F.coalesce(F.col("_m"), F.lit(0.0)), F.coalesce(F.col("_s"), F.lit(1.0))
-    v = F.col(value_col)
-    return j.withColumn(value_col, v * sc + m if inverse else (v - m) / sc).drop("_m", "_s")
-
-
-def scaler_coverage(df: DataFrame, scalers: DataFrame) -> DataFrame:
-    """Q5 report: contracts in ``df`` with and without a fitted scaler."""
-    assets = df.select("asset").distinct()
-    have = scalers.select("asset").distinct().withColumn("_has", F.lit(1))
-    return (assets.join(have, "asset", "left")
-            .agg(F.count(F.lit(1)).alias("assets"),
-                 F.count("_has").alias("with_scaler"),
-                 (F.count(F.lit(1)) - F.count("_has")).alias("without_scaler")))

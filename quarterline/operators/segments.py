@@ -16,10 +16,6 @@ def by_asset(keys=("asset",)):
     return Window.partitionBy(*keys).orderBy("ts")
 
 
-def running():
-    return by_asset().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def with_changes(df: DataFrame, keys=("asset",)) -> DataFrame:
     """First difference of ``is_trading`` with an initial 0: +1 start, -1 stop.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import sampling as S
 from ..operators.features import featurize
-from ..operators.prepare import fill_series, prepare_series, segment_training_set
+from ..operators.prepare import fill_series, prepare_series, segment_training_rows, segment_training_set
 from ..operators.windows import assign_shards, reclock, supervised_windows, transpose, with_batches
 from ..schema import WindowParams
 from ..sources.candles import events_panel
@@ -126,15 +126,18 @@ def w02_fill_forward_backward(spark, sf_dir):
     return out.select("asset", "ts", *[F.round(c, 6).alias(c) for c in _FILL_COLS])
 
 
+_P7_COLS = ["high", "low", "close", "volume", "time_to_delivery", "nearest_liquid_contract_close", "cross_contract_mean",
+            *[f"{c}_{k}" for k in range(1, 7) for c in ("close_lag_adj", "close_delta_adj", "volume_adj")]]
+
+
 def _p7_sql():
     feats = O.features_sql(O.event_panel_sql(3600), fill="NULL")
     split = f"SELECT *, CASE WHEN ts < TIMESTAMP '{VAL_START}' THEN 'train' ELSE 'val' END AS split FROM ({feats})"
     tr = O.stratified_sql(f"SELECT * FROM ({split}) WHERE split = 'train'")
     va = O.stratified_sql(f"SELECT * FROM ({split}) WHERE split = 'val'")
-    c = "cross_contract_mean"
-    fill = (f"coalesce(last_value({c} IGNORE NULLS) OVER (PARTITION BY split, asset ORDER BY ts ROWS BETWEEN "
-            f"UNBOUNDED PRECEDING AND CURRENT ROW), first_value({c} IGNORE NULLS) OVER (PARTITION BY split, asset "
-            f"ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0)")
+    fill = ", ".join(
+        f"round(coalesce(last_value({c} IGNORE NULLS) OVER w, first_value({c} IGNORE NULLS) OVER a, 0), 6) AS {c}"
+        for c in _P7_COLS)
     return f"""
     WITH s AS ({tr} UNION ALL {va}),
     ok AS (SELECT asset FROM s GROUP BY asset
@@ -142,8 +145,10 @@ def _p7_sql():
     SELECT split, asset, ts AS orig_ts,
            CASE split WHEN 'train' THEN TIMESTAMP '2020-01-01 00:00:00' ELSE TIMESTAMP '2021-01-01 00:00:00' END
              + (row_number() OVER (PARTITION BY split, asset ORDER BY ts) - 1) * INTERVAL 15 MINUTE AS ts,
-           close, round({fill}, 6) AS cross_contract_mean
-    FROM s WHERE asset IN (SELECT asset FROM ok)"""
+           {fill}
+    FROM s WHERE asset IN (SELECT asset FROM ok)
+    WINDOW w AS (PARTITION BY split, asset ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+           a AS (PARTITION BY split, asset ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"""
 
 
 @register("p07_prepare_series", _p7_sql())
@@ -153,11 +158,10 @@ def p07_prepare_series(spark, sf_dir):
     from ..operators.split import split_by_dates
     f = split_by_dates(featurize(events_panel(spark, sf_dir, 3600), fill=False), VAL_START)
     out = prepare_series(f, "Stratified", 24, 10)
-    return out.select("split", "asset", "orig_ts", "ts", "close", F.round("cross_contract_mean", 6).alias(
-        "cross_contract_mean"))
+    return out.select("split", "asset", "orig_ts", "ts", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in _P7_COLS])
 
 
-def _p8_sql():
+def _p8_sql(tail):
     sp = f"SELECT *, CASE WHEN ts < TIMESTAMP '{VAL_START}' THEN 'train' ELSE 'val' END AS split FROM ({TRADED_1H})"
     isl_tr = O.islands_sql(f"SELECT * EXCLUDE (split) FROM ({sp}) WHERE split = 'train'")
     isl_va = O.islands_sql(f"SELECT * EXCLUDE (split) FROM ({sp}) WHERE split = 'val'")
@@ -174,10 +178,20 @@ def _p8_sql():
     vfull AS (SELECT asset, ts FROM iv WHERE asset IN (SELECT asset FROM chosen)
               AND asset NOT IN (SELECT asset FROM vseg)),
     allrows AS (SELECT 'train' AS split, * FROM tr UNION ALL SELECT 'val', * FROM vseg UNION ALL SELECT 'val', * FROM vfull)
-    SELECT split, asset, count(*) AS n_rows, greatest(0, count(*) - 33) AS n_windows FROM allrows GROUP BY split, asset"""
+    """ + tail
+
 
+_P8_COUNTS = "SELECT split, asset, count(*) AS n_rows, greatest(0, count(*) - 33) AS n_windows FROM allrows GROUP BY split, asset"
+_P8_ROWS = f"""
+    SELECT split, asset, ts AS orig_ts,
+           CASE split WHEN 'train' THEN TIMESTAMP '2020-01-01 00:00:00' ELSE TIMESTAMP '2021-01-01 00:00:00' END
+             + (row_number() OVER (PARTITION BY split, asset ORDER BY ts) - 1) * INTERVAL 15 MINUTE AS ts,
+           p.high::FLOAT::DOUBLE AS high, p.low::FLOAT::DOUBLE AS low, p.close::FLOAT::DOUBLE AS close,
+           p.volume::FLOAT::DOUBLE AS volume
+    FROM allrows JOIN ({TRADED_1H}) p USING (asset, ts)"""
 
-@register("p08_segment_training_set", _p8_sql())
+
+@register("p08_segment_training_set", _p8_sql(_P8_COUNTS))
 def p08_segment_training_set(spark, sf_dir):
     """Best contracts by segment rows (5 or 300 rows), their train segments and val
     segments (full val when none), window counts per split (L_in 24, L_out 10)."""
@@ -186,3 +200,14 @@ def p08_segment_training_set(spark, sf_dir):
     tr = sp.filter("split = 'train'").drop("split")
     va = sp.filter("split = 'val'").drop("split")
     return segment_training_set(tr, va, MIN_SEG, 300, 5, 24, 10)
+
+
+@register("p08_training_rows", _p8_sql(_P8_ROWS))
+def p08_training_rows(spark, sf_dir):
+    """P8 as rows: segment rows of the chosen contracts and their validation rows, cleaned, FLOAT, on a
+    continuous clock per split."""
+    from ..operators.split import split_by_dates
+    sp = split_by_dates(traded_panel(spark, sf_dir), VAL_START)
+    rows = segment_training_rows(sp.filter("split = 'train'").drop("split"), sp.filter("split = 'val'").drop("split"),
+                                 MIN_SEG, 300, 5)
+    return rows.select("split", "asset", "orig_ts", "ts", *[F.col(c).cast("double").alias(c) for c in ("high", "low", "close", "volume")])
