@@ -49,11 +49,6 @@ def covariate_columns(df: DataFrame, targets: Sequence[str] = TARGETS,
     return [c for c in df.columns if c not in skip]
 
 
-def feature_columns(df: DataFrame) -> list[str]:
-    """Engineered cross-contract columns (names containing adj / cross_contract / nearest_liquid)."""
-    return [c for c in df.columns if any(m in c for m in FEATURE_MARKERS)]
-
-
 def mask_when_not_trading(df: DataFrame, cols: Iterable[str], flag: str = "is_trading") -> DataFrame:
     """engineered features -> NULL where the contract itself is not trading."""
     cols = list(cols)

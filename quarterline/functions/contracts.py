@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 # Weekday abbreviations in Monday=0 order.
 WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 
-NAME_PATTERN = r"^([A-Z][a-z]{2})(\d{2}).Q?([1-4])$"
-
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c

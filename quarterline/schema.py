@@ -8,15 +8,6 @@ from pyspark.sql import types as T
 
 TARGETS = ("high", "low", "close", "volume")
 
-# Raw CSV as delivered by the exchange export (one row per contract and 15-minute slot).
-RAW_CSV = T.StructType([
-    T.StructField("ID", T.StringType()),
-    T.StructField("ExecutionTime", T.StringType()),
-    T.StructField("high", T.DoubleType()),
-    T.StructField("low", T.DoubleType()),
-    T.StructField("close", T.DoubleType()),
-    T.StructField("volume", T.DoubleType()),
-])
 
 PANEL = T.StructType([
     T.StructField("asset", T.StringType()),
@@ -102,9 +93,3 @@ QUANTILE_SETS = {
 }
 
 
-@dataclass(frozen=True)
-class SplitParams:
-    train_years: tuple = (2021, 2022)
-    val_years: tuple = (2023,)
-    test_years: tuple = ()
-    extra: dict = field(default_factory=dict)
