@@ -68,7 +68,18 @@ def quantile_context(df: DataFrame, L_in: int, levels: Sequence[float],
     interpolation); ``q_<target>`` is an array aligned with ``levels``."""
     ctx = by_asset().rowsBetween(-(L_in - 1), 0)
     lv = F.array(*[F.lit(float(x)) for x in levels])
-    return df.withColumns({f"q_{t}": F.percentile(F.col(t), lv).over(ctx) for t in targets})
+
+    def between(a: Column, q: Column) -> Column:
+        n = F.size(a)
+        at = q * (n - 1)
+        lo, hi = F.floor(at).cast("int"), F.ceil(at).cast("int")
+        x, y = F.get(a, lo), F.get(a, hi)
+        return F.when(n > 0, F.when(lo == hi, x).otherwise((hi - at) * x + (at - lo) * y))
+
+    # the context's values are sorted once per row, and all levels read from that array
+    d = df.withColumns({f"_s_{t}": F.collect_list(F.col(t).cast("double")).over(ctx) for t in targets})
+    return d.withColumns({f"q_{t}": F.transform(F.array(F.array_sort(f"_s_{t}")), lambda a: F.transform(
+        lv, lambda q: between(a, q)))[0] for t in targets}).drop(*[f"_s_{t}" for t in targets])
 
 
 def quantile_forecasts_long(df: DataFrame, levels: Sequence[float],

@@ -41,11 +41,6 @@ def distribution_summary(dist: DataFrame) -> DataFrame:
                     F.count(F.lit(1)).alias("n_assets"))
 
 
-def _long(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    return df.selectExpr(*keys, f"stack({len(cols)}, {stack}) AS (column_name, value)")
-
-
 def describe(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str] = ("asset",),
              exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """A4: count, mean, sample std, min, 25/50/75 % (linear interpolation), max per column.
@@ -54,13 +49,17 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str]
     per group) for very long groups.
     """
     cols = list(cols) if cols is not None else [c for c in numeric_columns(df) if c not in by]
-    long = _long(df, cols, by)
     levels = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = (F.percentile("value", levels) if exact
-         else F.percentile_approx("value", levels, accuracy).cast("array<double>"))
-    out = long.groupBy(*by, "column_name").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), q.alias("_q"), F.max("value").alias("max"))
+
+    def of(c: str) -> Column:
+        x = F.col(f"`{c}`").cast("double")
+        q = (F.percentile(x, levels) if exact
+             else F.percentile_approx(x, levels, accuracy).cast("array<double>"))
+        return F.struct(F.lit(c).alias("column_name"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+                        F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q.alias("_q"), F.max(x).alias("max"))
+
+    # all columns in one aggregate: rows are shuffled once, not once per column
+    out = df.groupBy(*by).agg(F.array(*[of(c) for c in cols]).alias("_s")).select(*by, F.inline("_s"))
     return out.select(*by, "column_name", "count", "mean", "std", "min",
                       F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
 
