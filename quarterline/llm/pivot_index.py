@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import written
+from quarterline.llm.common import smallest, written
 from quarterline.llm.components import connected_components
 
 COSINE = 0.9
@@ -67,8 +67,8 @@ def _matrix(col) -> np.ndarray:
 
 def pick_pivots(classes: DataFrame, limit: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """dim -> (pivot numbers, matrix): the ``limit`` vectors of smallest hash, and one of each dimension."""
-    order = F.xxhash64("key")
-    some = classes.select("dim", "vec").orderBy(order, "key").limit(limit).collect()
+    hashed = classes.select("dim", "vec", "key", F.xxhash64("key").alias("order"))
+    some = smallest(hashed, "order", limit, "key").collect()
     some += classes.groupBy("dim").agg(F.min_by("vec", "key").alias("vec")).collect()  # one row per dimension
     out, seen = {}, set()
     for r in some:

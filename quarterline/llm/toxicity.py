@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import packed, text_or_empty, written
+from quarterline.llm.common import packed, smallest, text_or_empty, written
 
 SAMPLE_DOCS, LEARNER_DOCS, CALIBRATION = 12_000, 4_000, 5
 SAMPLE_CHARS = 100_000  # longer documents are left out of the sample, not out of the scoring
@@ -174,7 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = (labels.select(F.col(id_col).cast("long").alias("_id"), F.col("toxic").cast("int").alias("label"))
              .filter("_id is not null and label in (0, 1)").filter(~held_out("_id"))
              .groupBy("_id").agg(F.max("label").alias("label"))
-             .withColumn("order", F.xxhash64("_id")).orderBy("order", "_id").limit(sample_docs))
+             .withColumn("order", F.xxhash64("_id")))
+    known = smallest(known, "order", sample_docs, "_id")
     text = text_or_empty(text_col)
     sample = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
               .filter(F.length("text") <= SAMPLE_CHARS)
