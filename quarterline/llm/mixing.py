@@ -64,7 +64,7 @@ def source_targets(rows: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
                     target.cast("double").alias("target"))
 
 
-def _positions(rows: DataFrame, sources: DataFrame, bucket_rows: int = 50_000) -> DataFrame:
+def _positions(rows: DataFrame, sources: DataFrame, bucket_rows: int = 5_000) -> DataFrame:
     """Adds source_no and ``start``, the words of the source before the document."""
     buckets = max(1, rows.count() // bucket_rows)
     j = (rows.join(sources.select(F.col("source").alias("_s"), "source_no"), F.col("source").eqNullSafe(F.col("_s")))
