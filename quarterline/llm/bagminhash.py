@@ -295,8 +295,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("cls", "n", "r.*"), "bag-classes")
 
     banded = classes.select(F.explode("bands").alias("band"), "cls")
-    buckets = (banded.groupBy("band").agg(F.min("cls").alias("low"), F.max("cls").alias("high"),
-                                          F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    # written first: the join below then shuffles its own sides, and AQE may split a hot band's members
+    buckets = written(banded.groupBy("band").agg(F.min("cls").alias("low"), F.max("cls").alias("high"),
+                                                 F.count(F.lit(1)).alias("n")).filter("n > 1"), "bag-buckets")
     members = written(banded.join(buckets, "band"), "bag-members")
     wanted = members.select("cls").distinct().join(classes.select("cls", "doc_id", "fp"), "cls")
     wanted = wanted.select("cls", F.col("doc_id").alias("_i"), F.col("fp").alias("_f"))
