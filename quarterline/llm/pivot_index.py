@@ -1,6 +1,7 @@
 """Embedding near-dedup with a pivot-permutation index.
 
-Pivots are a bounded sample of the vectors. Every vector is described by the ordered list of its
+Pivots are a bounded sample of the vectors, thinned so that no two have a cosine of ``APART`` or more:
+members of a dense group share the same few pivots, however large the group. Every vector is described by the ordered list of its
 ``nearest`` closest pivots and entered in the inverted list of each of them. Two vectors are
 candidates if they share at least ``shared`` pivots; a candidate pair is verified by its cosine in
 double precision. A pair that meets in several lists is settled in the list of the smallest pivot
@@ -28,6 +29,7 @@ from quarterline.llm.components import connected_components
 
 COSINE = 0.9
 NEAREST, SHARED = 12, 2
+APART = 0.8
 BLOCK = 2_048
 MAX_PIVOTS = 16_384
 
@@ -66,7 +68,7 @@ def _matrix(col) -> np.ndarray:
 
 
 def pick_pivots(classes: DataFrame, limit: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """dim -> (pivot numbers, matrix): the ``limit`` vectors of smallest hash, and one of each dimension."""
+    """dim -> (pivot numbers, matrix): the ``limit`` vectors of smallest hash and one of each dimension, thinned."""
     hashed = classes.select("dim", "vec", "key", F.xxhash64("key").alias("order"))
     some = smallest(hashed, "order", limit, "key").collect()
     some += classes.groupBy("dim").agg(F.min_by("vec", "key").alias("vec")).collect()  # one row per dimension
@@ -77,11 +79,26 @@ def pick_pivots(classes: DataFrame, limit: int) -> dict[int, tuple[np.ndarray, n
             out.setdefault(r.dim, []).append(np.frombuffer(r.vec, "<f8"))
     base, numbered = 0, {}
     for dim in sorted(out):
-        numbered[dim] = (np.arange(base, base + len(out[dim]), dtype=np.int32), np.stack(out[dim]))
-        base += len(out[dim])
+        kept = _thinned(np.stack(out[dim]))
+        numbered[dim] = (np.arange(base, base + len(kept), dtype=np.int32), kept)
+        base += len(kept)
     return numbered
 
 
+def _thinned(p: np.ndarray, apart: float = APART) -> np.ndarray:
+    """The vectors in their order, without those that have a cosine of ``apart`` or more with one kept before."""
+    kept = np.empty((0, p.shape[1]))
+    for lo in range(0, len(p), 512):
+        part = p[lo:lo + 512]
+        part = part[~(part @ kept.T >= apart).any(axis=1)]
+        close = part @ part.T >= apart
+        keep = np.zeros(len(part), bool)
+        for i in range(len(part)):
+            keep[i] = not (close[i, :i] & keep[:i]).any()
+        kept = np.concatenate([kept, part[keep]])
+    return kept
+
+
 def _describer(pivots, nearest: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

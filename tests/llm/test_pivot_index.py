@@ -56,6 +56,21 @@ def test_recall_and_components(spark, block):
     assert sum(got[i].component_id == low for i, _, low in want) >= 0.98 * len(rows)
 
 
+@pytest.mark.parametrize("n", [1_500, 15_000])
+def test_recall_inside_a_dense_group(spark, n):
+    r = np.random.default_rng(7)
+    base, g = r.normal(size=64), n // 3
+    base /= np.linalg.norm(base)
+    x = np.concatenate([base + r.normal(size=(g, 64)) * 0.03, r.normal(size=(n - g, 64))]).astype(np.float32)
+    got = {row.vec_id: row for row in embedding_links(frame(spark, list(enumerate(x.tolist())))).collect()}
+    u = x[:g].astype(float)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    want = (u @ u.T >= 0.9).sum(1) - 1
+    links = np.array([got[i].n_links for i in range(g)])
+    assert (links <= want).all() and links.sum() >= 0.9 * want.sum()
+    assert sum(got[i].component_id == 0 for i in range(g)) >= 0.98 * g
+
+
 def test_odd_vectors(spark):
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [1.0, float("nan")]), (6, [1.0, float("inf")]), (7, [1.0, 0.0]),
             (8, [2.0, 0.0]), (8, [2.0, 0.0]), (None, [3.0, 0.0]), (9, [1.0, 0.0, 0.0]), (10, [-1.0, 0.0]), (11, [1.0, 0.1]), (None, None)]
