@@ -4,11 +4,12 @@ Every partition first turns its rows into a run: entries sorted by digest, equal
 into one entry (best row so far, group size). Then the runs are merged in rounds. A shard has an
 address of ``rounds`` digits; in round r the shards whose addresses differ only in digit r form a
 group of ``fan_in`` partners, and each entry moves to the partner named by the r-th digit of its
-digest. A partner merges the sorted runs it receives and folds equal digests again. After the
+digest. At the partner Spark sorts the received runs anew and equal digests are folded again. After the
 last round a shard's address is a digest prefix and every digest has met in one place.
 
-No task ever sees more than ``fan_in`` entries of one digest, however many copies exist, and each
-shard holds 1/shards of the digests, so nothing is gathered in one task or on the driver.
+However many copies exist, a task sees of one digest at most ``fan_in`` entries from round two on, and in
+round one at most one per input partition whose hashed home lies in its group: with more partitions than
+shards several share a home. Each shard holds 1/shards of the digests, so nothing is gathered in one task or on the driver.
 
 An entry is identified by the SHA-256 digest, and verified by the length and a second, independent
 64-bit hash of the normalised text: rows whose digests agree while these differ never merge.
