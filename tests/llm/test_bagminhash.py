@@ -6,7 +6,7 @@ import pytest
 
 from quarterline.llm import bagminhash as bag
 from quarterline.llm.components import connected_components
-from tests.llm.conftest import docs_frame, odd_rows
+from doc_helpers import docs_frame, odd_rows
 
 
 def multiset(text):

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from quarterline.llm import byte_bpe as bpe
-from tests.llm.conftest import docs_frame, odd_rows
+from doc_helpers import docs_frame, odd_rows
 
 P = pytest.importorskip("public_tokenizers")
 tiktoken = pytest.importorskip("tiktoken")

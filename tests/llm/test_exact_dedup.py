@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 
 from quarterline.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
-from tests.llm.conftest import docs_frame, odd_rows
+from doc_helpers import docs_frame, odd_rows
 
 
 def brute(rows):

@@ -3,7 +3,7 @@ from collections import defaultdict
 import pytest
 
 from quarterline.llm.line_dedup import apply_bitmaps, keep_bitmaps, kept_lines
-from tests.llm.conftest import docs_frame, odd_rows
+from doc_helpers import docs_frame, odd_rows
 
 BLANKS = " \t\n\x0b\x0c\r"
 

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 
 from quarterline.llm.mixing import mix, mixed_documents, source_targets, sized, taken_words
-from tests.llm.conftest import docs_frame, odd_rows
+from doc_helpers import docs_frame, odd_rows
 
 
 def sizes(rows):

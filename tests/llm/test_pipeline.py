@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from quarterline.llm import queries
-from tests.llm.conftest import docs_frame, odd_rows
+from doc_helpers import docs_frame, odd_rows
 from tests.llm.test_bagminhash import brute as near_brute
 
 P = pytest.importorskip("public_tokenizers")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from quarterline.llm.token_files import WordEncoder, read_token_files, word_encoder, write_token_files
-from tests.llm.conftest import docs_frame, odd_rows
+from doc_helpers import docs_frame, odd_rows
 
 P = pytest.importorskip("public_tokenizers")
 PATH = P.path("word_bpe_49k.json")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from quarterline.llm import toxicity as tox
-from tests.llm.conftest import docs_frame, odd_rows
+from doc_helpers import docs_frame, odd_rows
 
 BAD = ["zork", "blarg", "snib"]
 
