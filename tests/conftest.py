@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -15,10 +12,3 @@ def spark():
     s = build_session(master="local[4]", shuffle_partitions=4)
     yield s
     s.stop()
-
-
-def panel_df(spark, rows, cols="asset string, ts timestamp, high double, low double, close double, volume double"):
-    from datetime import datetime
-    conv = [tuple(datetime.fromisoformat(v) if isinstance(v, str) and v[:2] == "20" and ":" in v else v for v in r)
-            for r in rows]
-    return spark.createDataFrame(conv, cols)

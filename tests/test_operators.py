@@ -12,7 +12,7 @@ from quarterline.operators.scale import apply_scalers, fit_scalers
 from quarterline.operators.segments import boundary_flag, select_best, trading_segments, window_counts
 from quarterline.operators.windows import supervised_windows
 from quarterline.schema import WindowParams
-from conftest import SF_SMALL
+from panel_helpers import SF_SMALL
 
 T0 = datetime(2024, 1, 1)
 

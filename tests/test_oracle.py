@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from panel_helpers import SF_SMALL
 
 import importlib.util
 import os

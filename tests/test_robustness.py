@@ -4,7 +4,7 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import panel_df
+from panel_helpers import panel_df
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
