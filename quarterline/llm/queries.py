@@ -67,7 +67,8 @@ def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    from quarterline.llm.token_files import read_token_files, word_encoder, write_token_files
+    from quarterline.llm.token_files import read_token_files, write_token_files
+    from quarterline.llm.word_ids import word_encoder
     path = public_tokenizers.path("word_bpe_49k.json")
     files = write_token_files(table(spark, sf_dir, "documents"), lambda: word_encoder(path))
     return read_token_files(files)

@@ -20,112 +20,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterline.llm.common import fingerprint, shared_input, shared_output, tasks, text_or_empty, written
+from quarterline.llm.word_ids import WordEncoder
 from quarterline.session import scratch_path
 
 NULL_ID = np.iinfo(np.int64).min
 _MANIFEST = "part int, bin string, idx string, doc string, n_docs long, n_ids long, width int"
 
 
-class WordEncoder:
-    """Encodes with a tokenizers file, each white-space-separated chunk once while it is remembered.
-
-    Valid for tokenizers whose pieces never span white space and drop it (lower-case word BPE). Two
-    generations of at most ``cap`` chunks bound the memory; frequent chunks move to the young one.
-    """
-
-    def __init__(self, path: str, cap: int = 700_000):
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
-        self.dtype = np.dtype(f"<u{self.width}")
-        self.cap, self.young, self.old = cap, {}, {}
-        vocab = self.tok.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-
-    def _word_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of single chunks. Runs of letters are one piece each, and a piece's last id is an end of
-        word: they are encoded many at a time and cut there; anything else goes one by one."""
-        runs = [w for w in words if w.isalpha() and w.isascii()]
-        lots = [" ".join(runs[i:i + 1000]) for i in range(0, len(runs), 1000)]
-        ids = b"".join(self._ids(lots))
-        cut = (np.flatnonzero(self.ends[np.frombuffer(ids, self.dtype)]) + 1) * self.width
-        if len(cut) != len(runs):
-            return self._ids(words)
-        known = dict(zip(runs, (ids[a:b] for a, b in zip([0, *cut[:-1].tolist()], cut.tolist()))))
-        rest = [w for w in words if w not in known]
-        known.update(zip(rest, self._ids(rest)))
-        return [known[w] for w in words]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Add chunks: a word with one closing mark is made up of the word's and the mark's ids."""
-        made, plain = [], []
-        for w in chunks:
-            mark = w[-1] if w[-1] in ".,;:!?" else ""
-            s = w[:-1] if mark else w
-            # letters and one closing mark are separate pieces; letters below U+0130 are lowered one by one
-            if s.isalpha() and (mark or not s.islower()):
-                made.append((w, s.lower() if max(s) < "\u0130" else s, mark))
-            else:
-                plain.append(w)
-        made = [x for x in made if x[0] != x[1] or plain.append(x[0])]
-        need = dict.fromkeys(plain)
-        for _, s, mark in made:
-            need[s] = None
-            if mark:
-                need[mark] = None
-        new = []
-        for s in need:
-            if s in self.young:
-                continue
-            if s in self.old:
-                self.young[s] = self.old[s]
-            else:
-                new.append(s)
-        self.young.update(zip(new, self._word_ids(new)))
-        for w, s, mark in made:
-            self.young[w] = self.young[s] + (self.young[mark] if mark else b"")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for t in texts:
-            if any(c in t for c in "\x1c\x1d\x1e\x1f"):  # str.split would drop these, the tokenizer keeps them
-                out += self._ids([t])
-                continue
-            words = t.split()
-            try:
-                out.append(b"".join(map(self.young.get, words)))
-            except TypeError:  # None: a chunk that is not remembered
-                missing = set(words).difference(self.young)
-                if len(self.young) > self.cap:
-                    self.old, self.young = self.young, {}
-                    missing = set(words)
-                self._learn(list(missing))
-                out.append(b"".join(map(self.young.__getitem__, words)))
-        return out
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def word_encoder(path: str) -> WordEncoder:
-    """One encoder per worker process, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
-
-
 def write_token_files(docs: DataFrame, encoder: Callable[[], WordEncoder], end_id: int = 1, folder: str | None = None,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the token files of ``docs`` and return their manifest with ``base`` (prefix sum).
 
     Documents are range-partitioned and sorted by doc_id (null first; rows that repeat an id stand in
-    order of a hash of their texts). Null text counts as empty: only the end id.
+    order of a hash of their texts). Null text counts as empty: only the end id. An empty table has an
+    empty manifest; other columns are not looked at.
     """
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "tokens")
@@ -136,18 +44,22 @@ def write_token_files(docs: DataFrame, encoder: Callable[[], WordEncoder], end_i
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, enc = TaskContext.get().partitionId(), encoder()
-        end = np.array([end_id], dtype=enc.dtype).tobytes()
         paths = [f"{folder}/part-{part:06d}.{x}" for x in ("bin", "idx", "doc")]
         n_docs, n_ids = 0, 0
         with shared_output(paths[0]) as ids, shared_output(paths[1]) as offsets, shared_output(paths[2]) as names:
             offsets.write(np.zeros(1, "<i8").tobytes())
             for b in batches:
-                data = enc.encode(b["text"].to_pylist())
-                ids.write(b"".join(x for d in data for x in (d, end)))
-                ends = n_ids + np.cumsum([len(d) // enc.width + 1 for d in data], dtype="<i8")
+                data, sizes = enc.encode_array(b["text"])
+                closed = sizes + 1
+                ends = n_ids + np.cumsum(closed, dtype="<i8")
+                out = np.full(len(data) + len(sizes), end_id, enc.dtype)
+                own = np.ones(len(out), bool)
+                own[ends - n_ids - 1] = False  # the places of the end ids
+                out[own] = data
+                ids.write(out.tobytes())
                 offsets.write(ends.tobytes())
                 names.write(b["doc_id"].fill_null(int(NULL_ID)).to_numpy().astype("<i8").tobytes())
-                n_docs, n_ids = n_docs + len(data), int(ends[-1]) if len(data) else n_ids
+                n_docs, n_ids = n_docs + len(sizes), int(ends[-1]) if len(sizes) else n_ids
         yield pa.RecordBatch.from_pylist([dict(part=part, bin=paths[0], idx=paths[1], doc=paths[2], n_docs=n_docs,
                                                n_ids=n_ids, width=enc.width)],
                                          schema=pa.schema([("part", pa.int32()), ("bin", pa.string()),

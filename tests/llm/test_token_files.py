@@ -3,26 +3,27 @@ import zlib
 import numpy as np
 import pytest
 
-from quarterline.llm.token_files import WordEncoder, read_token_files, word_encoder, write_token_files
+from quarterline.llm.token_files import read_token_files, write_token_files
+from quarterline.llm.word_ids import WordEncoder, word_encoder
 from doc_helpers import docs_frame, odd_rows
 
 P = pytest.importorskip("public_tokenizers")
 PATH = P.path("word_bpe_49k.json")
 HARD = ["École, ÉCOLE. İstanbul; ΣΑΣ! don't x's A.B., a,,b (x) été. İı? \x1c a\x1db c\x85d <|endoftext|> ½.",
-        "ǅ. ŉ, ẞ! ſ ﬁ. ﬁx", "", " \n", "1,2,3. 10%"]
+        "ǅ. ŉ, ẞ! ſ ﬁ. ﬁx", "", " \n", "1,2,3. 10%", "a <|endoftext|> b <|startoftext|>x<|ENDOFTEXT|> <| |> <|<|endoftext|>",
+        "ÀÖ×Øß÷Þþÿ ÃÃ é\u0301 e\u0301 \u0301a \xa0 \u2028x n'T 'S'S ''re \x00 \x7f \ufffd", "x" * 5000 + "," * 300 + "7" * 50]
 
 
 def reference(texts):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     return [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
-@pytest.mark.parametrize("cap", [1, 3, 100_000])
-def test_encoder_equals_the_library(cap):
+@pytest.mark.parametrize("cap, stretch", [(1, 997), (3, 5000), (100_000, 1 << 20)])
+def test_encoder_equals_the_library(cap, stretch):
     texts = HARD + [t or "" for _, t, *_ in odd_rows()]
-    enc = WordEncoder(PATH, cap=cap)
+    enc = WordEncoder(PATH, cap=cap, stretch=stretch)
     for _ in range(2):
         assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)] == reference(texts)
 
