@@ -74,8 +74,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarterline.llm.lexical import build_index, search
+    return search(build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_secret_scan, op4_mix_sources, op5_warc,
-                                  op6_byte_bpe, op7_pivot_index, op8_line_dedup, op9_bagminhash, op10_token_files)}
+                                  op6_byte_bpe, op7_pivot_index, op8_line_dedup, op9_bagminhash, op10_token_files,
+                                  op13_lexical_search)}
 
 # white space of the contracts, and what a SQL string needs to name it
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -120,4 +126,28 @@ m AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id""",
+    "op13_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+c AS (SELECT CAST(count(*) FILTER (len(terms) > 0) AS BIGINT) AS n_all, CAST(sum(len(terms)) AS BIGINT) AS l_all FROM d),
+i AS (
+  SELECT row_number() OVER () AS i, item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM benchmark),
+q AS (SELECT i, item_id, term, count(*) AS qtf FROM (SELECT i, item_id, unnest(terms) AS term FROM i) GROUP BY ALL),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_all + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM p GROUP BY term), c),
+m AS (SELECT r, doc_id, 25 + (75 * len(terms) * n_all) // greatest(l_all, 1) AS m FROM d, c),
+s AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10""",
 }
