@@ -48,7 +48,7 @@ def write_token_files(docs: DataFrame, encoder: Callable[[], WordEncoder], end_i
         n_docs, n_ids = 0, 0
         with shared_output(paths[0]) as ids, shared_output(paths[1]) as offsets, shared_output(paths[2]) as names:
             offsets.write(np.zeros(1, "<i8").tobytes())
-            for b in batches:
+            for b in (x.slice(k, 1000) for x in batches for k in range(0, x.num_rows, 1000)):
                 data, sizes = enc.encode_array(b["text"])
                 closed = sizes + 1
                 ends = n_ids + np.cumsum(closed, dtype="<i8")

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are cut at a time.
-STRETCH = 4 << 20
+STRETCH = 2 << 20
 _SPACE, _LETTER, _DIGIT, _MARK, _HARD = range(5)
 
 
@@ -113,7 +113,7 @@ class WordEncoder:
     bound the memory; pieces that occur again move to the young one.
     """
 
-    def __init__(self, path: str, cap: int = 600_000, stretch: int = STRETCH):
+    def __init__(self, path: str, cap: int = 300_000, stretch: int = STRETCH):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
