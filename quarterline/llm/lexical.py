@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import tasks, text_or_empty, written
+from quarterline.llm.common import reachable, tasks, text_or_empty, written
 from quarterline.llm.word_ids import stretches, text_buffer
 
 BLOCK_DOCS, BLOCK_BYTES = 1 << 16, 32 << 20
@@ -142,6 +142,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null text has no terms; rows that repeat an id are documents of their own; an empty table gives an empty
     index; other columns are not looked at. ``block_docs`` is at most 65,536 (places are 16-bit).
     """
+    reachable(docs.sparkSession)
     block_docs = min(block_docs, 1 << 16)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

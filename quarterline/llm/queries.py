@@ -74,6 +74,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from quarterline.llm.packing import pack_documents
+    from quarterline.llm.word_ids import word_encoder
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packed = pack_documents(table(spark, sf_dir, "documents"), lambda: word_encoder(path))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarterline.llm.whitening import whiten
     return whiten(table(spark, sf_dir, "embeddings"))
@@ -86,7 +95,7 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_secret_scan, op4_mix_sources, op5_warc,
                                   op6_byte_bpe, op7_pivot_index, op8_line_dedup, op9_bagminhash, op10_token_files,
-                                  op12_whitening, op13_lexical_search)}
+                                  op11_packing, op12_whitening, op13_lexical_search)}
 
 # white space of the contracts, and what a SQL string needs to name it
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

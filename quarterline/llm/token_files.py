@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import fingerprint, shared_input, shared_output, tasks, text_or_empty, written
+from quarterline.llm.common import fingerprint, reachable, shared_input, shared_output, tasks, text_or_empty, written
 from quarterline.llm.word_ids import WordEncoder
 from quarterline.session import scratch_path
 
@@ -36,6 +36,7 @@ def write_token_files(docs: DataFrame, encoder: Callable[[], WordEncoder], end_i
     empty manifest; other columns are not looked at.
     """
     spark = docs.sparkSession
+    reachable(spark)
     folder = folder or scratch_path(spark, "tokens")
     text = text_or_empty(text_col)
     order = ["doc_id", "fp"]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import written
+from quarterline.llm.common import reachable, written
 
 #: Entries become floor(SCALE * c) + SHIFT.
 SCALE, SHIFT = 64, 1_000_000
@@ -353,6 +353,7 @@ def whiten(df: DataFrame, components: int = COMPONENTS, id_col: str = "vec_id",
     no rows. Rows that repeat an id are vectors of their own; an empty table gives an empty one; other columns
     are not looked at. A deviation beyond 64 bits is an error, as it cannot be a long.
     """
+    reachable(df.sparkSession)
     rows = whole_vectors(df, id_col, vec_col)
     sizes = rows.groupBy(F.size("x").alias("d")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("k"), F.desc("d")).limit(1).collect()
     if sizes:
