@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.joins import join_small
 from ..functions.cleaning import covariate_columns, non_finite_to_null
 from ..schema import TARGETS
+from .chunks import fill_series_chunked, reclock_chunked
 from .sampling import apply_strategy
 from .segments import select_best, with_segments
 from .windows import reclock
@@ -20,11 +21,15 @@ def by_asset():
     return Window.partitionBy("asset").orderBy("ts")
 
 
-def fill_series(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("asset",)) -> DataFrame:
+def fill_series(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("asset",),
+                chunk_seconds: int | None = None) -> DataFrame:
     """F15 + W1 + W2: non-finite -> NULL, forward fill, then backward fill, then 0.
 
     The backward fill only matters before a series' first value, and there it is the first value
-    of the whole series: one pass per partition instead of a frame evaluated anew for each row."""
+    of the whole series: one pass per partition instead of a frame evaluated anew for each row.
+    With ``chunk_seconds`` the rows of a series are spread over (series, chunk) tasks (:mod:`chunks`)."""
+    if chunk_seconds:
+        return fill_series_chunked(df, cols, by, chunk_seconds)
     w = Window.partitionBy(*by).orderBy("ts")
     before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -44,7 +49,7 @@ def min_length_both_sides(df: DataFrame, min_rows: int, splits: Sequence[str] =
 
 def prepare_series(featured: DataFrame, strategy: str, input_chunk_length: int, output_chunk_length: int,
                    starts: dict[str, str] | None = None, step_minutes: int = 15,
-                   targets: Sequence[str] = TARGETS, **strategy_kw) -> DataFrame:
+                   targets: Sequence[str] = TARGETS, chunk_seconds: int | None = None, **strategy_kw) -> DataFrame:
     """Strategy per split -> contracts long enough on both sides (L_in + L_out + 10) ->
     clean and fill every numeric column -> continuous synthetic clock per split (W9).
 
@@ -53,17 +58,20 @@ def prepare_series(featured: DataFrame, strategy: str, input_chunk_length: int,
     starts = starts or {"train": "2020-01-01 00:00:00", "val": "2021-01-01 00:00:00"}
     keys = ("split", "asset")
     sampled = apply_strategy(featured.filter(F.col("split").isin(list(starts))), strategy,
-                             keys=keys, **strategy_kw)
+                             keys=keys, chunk_seconds=chunk_seconds, **strategy_kw)
     sampled = min_length_both_sides(sampled, input_chunk_length + output_chunk_length + 10, list(starts))
     num = [*targets, *[c for c in covariate_columns(sampled, targets) if c not in ("idx", "n_assets")]]
     num = [c for c in num if dict(sampled.dtypes).get(c) in ("double", "float", "int", "bigint")]
-    filled = fill_series(sampled, num, by=keys).withColumn("orig_ts", F.col("ts"))
+    filled = fill_series(sampled, num, keys, chunk_seconds).withColumn("orig_ts", F.col("ts"))
     start = F.coalesce(*[F.when(F.col("split") == s, F.to_timestamp(F.lit(t0))) for s, t0 in starts.items()])
-    return reclock_by(filled, start, step_minutes, by=keys)
+    return reclock_by(filled, start, step_minutes, keys, chunk_seconds)
 
 
-def reclock_by(df: DataFrame, start, step_minutes: int, by: Sequence[str] = ("asset",)) -> DataFrame:
+def reclock_by(df: DataFrame, start, step_minutes: int, by: Sequence[str] = ("asset",),
+               chunk_seconds: int | None = None) -> DataFrame:
     """W9 per series: ``start`` (a timestamp string or column) + position * step."""
+    if chunk_seconds:
+        return reclock_chunked(df, start, step_minutes, by, chunk_seconds)
     t0 = F.to_timestamp(F.lit(start)) if isinstance(start, str) else start
     n = F.row_number().over(Window.partitionBy(*by).orderBy("ts")) - 1
     return df.withColumn("ts", t0 + F.make_dt_interval(

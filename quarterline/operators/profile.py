@@ -46,7 +46,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str]
     """A4: count, mean, sample std, min, 25/50/75 % (linear interpolation), max per column.
 
     Long output (by..., column, ...). ``exact=False`` uses ``percentile_approx`` (bounded memory
-    per group) for very long groups.
+    per group) for very long groups; :func:`selection.describe_refined` is exact with bounded memory.
     """
     cols = list(cols) if cols is not None else [c for c in numeric_columns(df) if c not in by]
     levels = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))

@@ -3,6 +3,9 @@
 Sampling is deterministic and exact in size: rows are ranked inside
 ``(asset, is_trading)`` by ``md5(seed | asset | epoch seconds)`` and the first
 floor(fraction * n) are kept. ``sample()`` would give only approximate sizes.
+
+With ``chunk_seconds`` no task gets all rows of a contract: the same rows are chosen by histograms of the
+hash (:mod:`selection`) on a written table, and boundary rows come from chunked scans (:mod:`chunks`).
 """
 
 from __future__ import annotations
@@ -13,7 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import pct, reduction_pct
+from ..session import materialize
 from .segments import boundary_flag
+from .selection import smallest_by_hash
 
 # Fixed value: seed of the strategy experiment.
 SEED = 827
@@ -31,43 +36,51 @@ def _exact_fraction(eligible: Column, fraction: float, seed: int, keys=("asset",
     return F.col("_elig") & (rank <= F.floor(n * F.lit(float(fraction))))
 
 
-def trading_only(df: DataFrame, keys=("asset",)) -> DataFrame:
-    """P1 (row-wise; ``keys`` only for a uniform signature)."""
+def trading_only(df: DataFrame, keys=("asset",), chunk_seconds: int | None = None) -> DataFrame:
+    """P1 (row-wise; ``keys`` and ``chunk_seconds`` only for a uniform signature)."""
     return df.filter(F.col("is_trading") == 1)
 
 
 def stratified_flag(df: DataFrame, non_trading_fraction: float = 0.1, seed: int = SEED,
-                    keys=("asset",)) -> DataFrame:
+                    keys=("asset",), chunk_seconds: int | None = None) -> DataFrame:
+    if chunk_seconds:
+        d = smallest_by_hash(materialize(df), F.col("is_trading") == 0, sample_key(seed), non_trading_fraction, keys, "_picked")
+        return d.withColumn("keep_stratified", (F.col("is_trading") == 1) | F.col("_picked")).drop("_picked")
     d = df.withColumn("_elig", F.col("is_trading") == 0)
     picked = _exact_fraction(F.col("_elig"), non_trading_fraction, seed, keys)
     return d.withColumn("keep_stratified", (F.col("is_trading") == 1) | picked).drop("_elig")
 
 
 def stratified(df: DataFrame, non_trading_fraction: float = 0.1, seed: int = SEED,
-               keys=("asset",)) -> DataFrame:
+               keys=("asset",), chunk_seconds: int | None = None) -> DataFrame:
     """All trading rows plus exactly floor(f * n_non_trading) non-trading rows per contract."""
-    return stratified_flag(df, non_trading_fraction, seed, keys).filter("keep_stratified").drop("keep_stratified")
+    d = stratified_flag(df, non_trading_fraction, seed, keys, chunk_seconds)
+    return d.filter("keep_stratified").drop("keep_stratified")
 
 
 def boundary_aware(df: DataFrame, window_before: int = 4, window_after: int = 4,
-                   keys=("asset",)) -> DataFrame:
+                   keys=("asset",), chunk_seconds: int | None = None) -> DataFrame:
     """P3 (W6)."""
-    return (boundary_flag(df, window_before, window_after, keys).filter("keep_boundary")
+    return (boundary_flag(df, window_before, window_after, keys, chunk_seconds).filter("keep_boundary")
             .drop("keep_boundary", "change"))
 
 
 def hybrid_flag(df: DataFrame, non_trading_fraction: float = 0.05, window_before: int = 4,
-                window_after: int = 4, seed: int = SEED, keys=("asset",)) -> DataFrame:
-    d = boundary_flag(df, window_before, window_after, keys)
+                window_after: int = 4, seed: int = SEED, keys=("asset",), chunk_seconds: int | None = None) -> DataFrame:
+    d = boundary_flag(df, window_before, window_after, keys, chunk_seconds)
+    if chunk_seconds:
+        d = smallest_by_hash(materialize(d), (F.col("is_trading") == 0) & ~F.col("keep_boundary"), sample_key(seed),
+                             non_trading_fraction, keys, "_picked")
+        return d.withColumn("keep_hybrid", F.col("keep_boundary") | F.col("_picked")).drop("_picked")
     d = d.withColumn("_elig", (F.col("is_trading") == 0) & ~F.col("keep_boundary"))
     picked = _exact_fraction(F.col("_elig"), non_trading_fraction, seed, keys)
     return d.withColumn("keep_hybrid", F.col("keep_boundary") | picked).drop("_elig")
 
 
 def hybrid(df: DataFrame, non_trading_fraction: float = 0.05, window_before: int = 4,
-           window_after: int = 4, seed: int = SEED, keys=("asset",)) -> DataFrame:
+           window_after: int = 4, seed: int = SEED, keys=("asset",), chunk_seconds: int | None = None) -> DataFrame:
     """Boundary-aware rows plus exactly floor(f * remaining) of the other non-trading rows."""
-    d = hybrid_flag(df, non_trading_fraction, window_before, window_after, seed, keys)
+    d = hybrid_flag(df, non_trading_fraction, window_before, window_after, seed, keys, chunk_seconds)
     return d.filter("keep_hybrid").drop("keep_hybrid", "keep_boundary", "change")
 
 

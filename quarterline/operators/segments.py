@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import with_is_trading
+from .chunks import boundary_flag_chunked, with_segments_chunked
 
 
 def by_asset(keys=("asset",)):
@@ -29,12 +30,15 @@ def with_position(df: DataFrame, col: str = "pos") -> DataFrame:
     return df.withColumn(col, (F.row_number().over(by_asset()) - 1).cast("long"))
 
 
-def with_segments(df: DataFrame, keys=("asset",)) -> DataFrame:
+def with_segments(df: DataFrame, keys=("asset",), chunk_seconds: int | None = None) -> DataFrame:
     """W5 (without the length filter): ``segment_id`` (running count of starts) for trading rows,
     and ``segment_length`` = rows of that island. Non-trading rows get NULLs.
 
     True islands of consecutive trading rows, including one that begins on the first row.
+    With ``chunk_seconds`` a contract's rows are spread over (contract, chunk) tasks (:mod:`chunks`).
     """
+    if chunk_seconds:
+        return with_segments_chunked(df, keys, chunk_seconds)
     df = with_changes(df, keys)
     running_ = by_asset(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     df = df.withColumn("_sid", F.sum((F.col("change") == 1).cast("long")).over(running_))
@@ -45,16 +49,17 @@ def with_segments(df: DataFrame, keys=("asset",)) -> DataFrame:
     return df.withColumn("segment_length", F.when(F.col("is_trading") == 1, length).cast("long")).drop("_sid")
 
 
-def trading_segments(df: DataFrame, min_segment_length: int = 96, keys=("asset",)) -> DataFrame:
+def trading_segments(df: DataFrame, min_segment_length: int = 96, keys=("asset",),
+                     chunk_seconds: int | None = None) -> DataFrame:
     """Rows of trading islands with at least ``min_segment_length`` rows (U2: the
     segments of a contract are simply its rows with a segment id)."""
-    return with_segments(df, keys).filter(F.col("segment_length") >= min_segment_length)
+    return with_segments(df, keys, chunk_seconds).filter(F.col("segment_length") >= min_segment_length)
 
 
-def segment_stats(df: DataFrame, min_segment_length: int = 96) -> DataFrame:
+def segment_stats(df: DataFrame, min_segment_length: int = 96, chunk_seconds: int | None = None) -> DataFrame:
     """A10: per contract total rows, rows in kept segments, number of kept segments,
     average kept length and the original trading ratio; contracts without a kept segment omitted."""
-    s = with_segments(df)
+    s = with_segments(df, chunk_seconds=chunk_seconds)
     kept = F.col("segment_length") >= min_segment_length
     per_asset = s.groupBy("asset").agg(
         F.count(F.lit(1)).alias("total_rows"),
@@ -81,9 +86,12 @@ def select_best(stats: DataFrame, target_total_rows: int = 50_000, target_n_asse
     return chosen.withColumn("cumulative_rows", F.col("rows_before") + F.col("trading_rows")).drop("rows_before")
 
 
-def boundary_flag(df: DataFrame, window_before: int = 4, window_after: int = 4, keys=("asset",)) -> DataFrame:
+def boundary_flag(df: DataFrame, window_before: int = 4, window_after: int = 4, keys=("asset",),
+                  chunk_seconds: int | None = None) -> DataFrame:
     """``keep_boundary`` = trading row, or within ``before`` rows ahead of a start,
     or the stop row and the ``after`` rows following it."""
+    if chunk_seconds:
+        return boundary_flag_chunked(df, window_before, window_after, keys, chunk_seconds)
     df = with_changes(df, keys)
     start = (F.col("change") == 1).cast("int")
     stop = (F.col("change") == -1).cast("int")

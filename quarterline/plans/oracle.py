@@ -30,6 +30,19 @@ def event_candles_sql(bucket_seconds: int = 3600, n_contracts: int = 24) -> str:
     GROUP BY asset, bucket"""
 
 
+def hot_panel_sql() -> str:
+    """FX3: one-minute candles, not densified, volume = trades, trading flag by volume."""
+    return f"""
+    SELECT *, (volume > 0)::INTEGER AS is_trading FROM (
+      SELECT asset, bucket AS ts, max(value)::DOUBLE AS high, min(value)::DOUBLE AS low,
+             first(value ORDER BY t DESC, event_id DESC)::DOUBLE AS close,
+             (count(*) FILTER (event_type IN ('click', 'purchase', 'signup')))::DOUBLE AS volume
+      FROM (SELECT CASE WHEN user_id % 3 = 0 THEN {name_sql('0')} ELSE {name_sql('user_id % 24')} END AS asset, ts AS t, event_id,
+                   value, event_type, time_bucket(INTERVAL '60 seconds', ts) AS bucket
+            FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL)
+      GROUP BY asset, bucket)"""
+
+
 def brand_candles_sql() -> str:
     return f"""
     SELECT asset, bucket AS ts, max(l_extendedprice)::DOUBLE AS high, min(l_extendedprice)::DOUBLE AS low,

@@ -137,6 +137,26 @@ def brand_panel(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFra
     return panel
 
 
+def hot_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX3: one-minute candles that are not densified; one contract holds more than a third of the rows.
+
+    ``events`` ticks, contract = name(0) for users divisible by 3, else name(user_id mod 24). Clicks, purchases
+    and signups are trades, other events only quotes: volume counts trades, and slots without any do not trade."""
+    key = ("hot", sf_dir)
+    cached = _PANELS.get((_app(spark), key))
+    if cached is not None:
+        return cached
+    ensure_utc(spark)
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+    number = F.when(F.col("user_id") % 3 == 0, F.lit(0).cast("long")).otherwise(F.pmod(F.col("user_id"), F.lit(24)))
+    ticks = ev.select(contract_name_for_int(number).alias("asset"), F.col("ts").cast("timestamp").alias("ts"), "event_id", "value",
+                      F.col("event_type").isin("click", "purchase", "signup").alias("trade"))
+    panel = candles(ticks, "asset", "ts", "value", ["event_id"], 60, volume=F.count_if("trade").cast("double"))
+    panel = materialize(panel.withColumn("is_trading", (F.col("volume") > 0).cast("int")))
+    _PANELS[(_app(spark), key)] = panel
+    return panel
+
+
 # Materialised panels per (session, source): built once per session and reused by every
 # query over the same fixture, like a written table.
 _PANELS: dict = {}

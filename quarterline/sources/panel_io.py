@@ -46,7 +46,7 @@ def write_split(df: DataFrame, out: str) -> None:
 
 
 def write_trading_segments(df: DataFrame, out: str, min_segment_length: int = 96,
-                           assets: Sequence[str] | None = None) -> DataFrame:
+                           assets: Sequence[str] | None = None, chunk_seconds: int | None = None) -> DataFrame:
     """Keep rows of trading segments >= min length, optional contract list. Segments are found
     in each split on its own: none runs across a split's edge."""
     d = df
@@ -54,7 +54,7 @@ def write_trading_segments(df: DataFrame, out: str, min_segment_length: int = 96
         keep = df.sparkSession.createDataFrame([(a,) for a in assets], "asset string")
         d = d.join(F.broadcast(keep), "asset", "left_semi")  # explicit list
     split = ("split",) if "split" in d.columns else ()
-    seg = trading_segments(d, min_segment_length, (*split, "asset")).drop("change", "segment_length")
+    seg = trading_segments(d, min_segment_length, (*split, "asset"), chunk_seconds).drop("change", "segment_length")
     write_panel(seg, out, extra_partitions=split)
     return seg
 
