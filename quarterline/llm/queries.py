@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import table
+from quarterline.llm.common import table, written
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,11 +76,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    from quarterline.llm.packing import pack_documents
+    from quarterline.llm.packing import document_pieces, pack_lengths
     from quarterline.llm.word_ids import word_encoder
     path = public_tokenizers.path("word_bpe_49k.json")
-    packed = pack_documents(table(spark, sf_dir, "documents"), lambda: word_encoder(path))
-    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    pieces = document_pieces(table(spark, sf_dir, "documents"), lambda: word_encoder(path))
+    # the digest is taken where the ids lie: only it goes through the join
+    digests = written(pieces.select("uid", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pack-digests")
+    return digests.join(pack_lengths(pieces.select("uid", "length")), "uid").drop("uid")
 
 
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
