@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import reachable, text_or_empty, written
+from quarterline.llm.common import reachable, tasks, text_or_empty, written
 from quarterline.llm.word_ids import WordEncoder
 
 CAPACITY = 2048
@@ -172,8 +172,8 @@ def _level(items: DataFrame, n_shards: int, level: int, capacity: int, islands:
                      .agg(F.first("lengths", ignorenulls=True).alias("lengths"),
                           F.sort_array(F.collect_list(F.struct("guest", "bins"))).alias("all"))
                      .select("shard", "island", "lengths", F.flatten(F.transform("all", lambda x: x["bins"])).alias("bins")))
-        else:
-            state = state.repartition("shard", "island")
+        # a row is much work in few bytes: a width of its own, or the rows would be gathered in one task
+        state = state.repartition(min(n_shards * islands, 4 * tasks(items.sparkSession)), "shard", "island")
         state = written(state.mapInArrow(_evolve(capacity, level, step, population, children), _STATE), f"pack-{level}-{step}")
     best = state.groupBy("shard").agg(F.min_by(F.element_at("bins", 1), F.struct("n_bins", -F.col("fitness"), "island")).alias("bins"))
     return shards.join(best, "shard")
