@@ -20,16 +20,24 @@ from ..schema import TARGETS
 from ..session import ensure_utc
 
 
+def header_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, header): the first line with text of every CSV file under ``path``, in one scan of the lines. Only a
+    file's first block can hold it, and each task keeps one line per file."""
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv*").text(path)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                     "value", F.monotonically_increasing_id().alias("line")))
+    first = lines.filter((F.col("start") == 0) & (F.length(F.trim("value")) > 0))
+    return first.groupBy("path").agg(F.min_by("value", "line").alias("header"))
+
+
 def _by_header(spark: SparkSession, path: str) -> DataFrame:
     """All CSV files under ``path`` with their columns by name: files are grouped by header line, so a
     file with another column order is read by its own. Only names and header lines reach the driver."""
     read = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
-    files = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.csv*").load(path).select("path").collect()]
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f in sorted(files):
-        groups.setdefault(tuple(read.csv(f).columns), []).append(f)
-    parts = [read.csv(fs) for h, fs in groups.items() if h]
+    groups: dict[str, list[str]] = {}
+    for r in header_lines(spark, path).orderBy("path").toLocalIterator():
+        groups.setdefault(r.header, []).append(r.path)
+    parts = [read.csv(fs) for fs in groups.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else read.csv(path)
 
 
