@@ -24,11 +24,12 @@ from .selection import smallest_by_hash
 SEED = 827
 
 
-def sample_key(seed: int = SEED) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("asset"), F.unix_seconds("ts").cast("string")))
+def sample_key(seed: int | Column = SEED) -> Column:
+    s = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
+    return F.md5(F.concat_ws("|", s, F.col("asset"), F.unix_seconds("ts").cast("string")))
 
 
-def _exact_fraction(eligible: Column, fraction: float, seed: int, keys=("asset",)) -> Column:
+def _exact_fraction(eligible: Column, fraction: float, seed: int | Column, keys=("asset",)) -> Column:
     """True for exactly floor(fraction * n) eligible rows per series (n = eligible rows)."""
     grp = Window.partitionBy(*keys, "_elig")
     rank = F.row_number().over(grp.orderBy(sample_key(seed), "ts"))
@@ -58,6 +59,13 @@ def stratified(df: DataFrame, non_trading_fraction: float = 0.1, seed: int = SEE
     return d.filter("keep_stratified").drop("keep_stratified")
 
 
+def stratified_by(df: DataFrame, non_trading_fraction: float, seed: Column, keys) -> DataFrame:
+    """P2 with the seed in a column: several draws in one pass, ``keys`` tells them apart."""
+    d = df.withColumn("_elig", F.col("is_trading") == 0)
+    d = d.withColumn("_picked", _exact_fraction(F.col("_elig"), non_trading_fraction, seed, keys))
+    return d.filter((F.col("is_trading") == 1) | F.col("_picked")).drop("_elig", "_picked")
+
+
 def boundary_aware(df: DataFrame, window_before: int = 4, window_after: int = 4,
                    keys=("asset",), chunk_seconds: int | None = None) -> DataFrame:
     """P3 (W6)."""

@@ -13,7 +13,8 @@ from ..operators import forecast as FC
 from ..operators import metrics as M
 from ..operators.features import featurize, rolling_nonzero_mean
 from ..operators.ml import gbt_forecast, ridge_stack
-from ..operators.sampling import stratified
+from ..operators.rolling import score_contexts, smape_of
+from ..operators.sampling import stratified_by
 from ..schema import TARGETS, FeatureParams
 from ..session import scratch_path
 from ..sources.candles import events_panel
@@ -87,23 +88,6 @@ def f26_neighbour_high_low(spark, sf_dir):
 TEST_START = "2024-01-26"
 
 
-def _split3(spark, sf_dir):
-    p = split_panel(spark, sf_dir).filter("split = 'val'").drop("split")
-    return {"val": p.filter(F.col("ts") < F.to_timestamp(F.lit(TEST_START))),
-            "test": p.filter(F.col("ts") >= F.to_timestamp(F.lit(TEST_START)))}
-
-
-def _score_long(rows: DataFrame, model: str) -> DataFrame:
-    base = FC.with_origins(rows, EVAL)
-    if model == "naive":
-        d = FC.naive_last_value(base, EVAL.input_chunk_length)
-        flat = {t: F.col(f"f_{t}") for t in TARGETS}
-    else:
-        d = FC.quantile_context(base, EVAL.input_chunk_length, LEVELS)
-        flat = {t: F.element_at(F.col(f"q_{t}"), len(LEVELS) // 2 + 1) for t in TARGETS}
-    return FC.evaluation_frame(d, EVAL, flat=flat)
-
-
 def _a21_sql():
     parts = []
     for split, cond in (("val", f"ts < TIMESTAMP '{TEST_START}'"), ("test", f"ts >= TIMESTAMP '{TEST_START}'")):
@@ -122,13 +106,11 @@ def _a21_sql():
 @register("a21_results_table", _a21_sql())
 def a21_results_table(spark, sf_dir):
     """Model x target sMAPE with validation and test periods as columns (pivot)."""
-    parts = []
-    for split, rows in _split3(spark, sf_dir).items():
-        for model in ("naive", "quantile_median"):
-            parts.append(M.smape(_score_long(rows, model), ["target"]).select(
-                F.lit(model).alias("model"), "target", F.lit(split).alias("split"), "smape"))
-    long = reduce(DataFrame.unionByName, parts)
-    wide = long.groupBy("model", "target").pivot("split", ["val", "test"]).agg(F.first("smape"))
+    v = val_rows(spark, sf_dir)
+    periods = v.withColumn("period", F.when(F.col("ts") < F.to_timestamp(F.lit(TEST_START)), "val").otherwise("test"))
+    scores = score_contexts(periods, [EVAL.input_chunk_length], LEVELS, EVAL.output_chunk_length, ("period", "asset"), ("period",))
+    long = smape_of(scores, [F.col("forecaster").alias("model"), "target", "period"])
+    wide = long.groupBy("model", "target").pivot("period", ["val", "test"]).agg(F.first("smape"))
     return wide.select("model", "target", _r6(F.col("val")).alias("val_smape"), _r6(F.col("test")).alias("test_smape"))
 
 
@@ -149,9 +131,10 @@ def _a23_sql():
 def a23_multi_seed_scores(spark, sf_dir):
     """The stratified subsample drawn with three seeds; naive-forecast sMAPE mean +- std."""
     v = val_rows(spark, sf_dir)
-    parts = [M.smape(_score_long(stratified(v, 0.1, seed), "naive")).select(F.lit(seed).alias("seed"), "smape")
-             for seed in SEEDS]
-    s = reduce(DataFrame.unionByName, parts)
+    seeds = F.explode(F.array(*[F.lit(x) for x in SEEDS])).alias("seed")
+    drawn = stratified_by(v.select("*", seeds), 0.1, F.col("seed"), ("seed", "asset"))
+    scores = score_contexts(drawn, [EVAL.input_chunk_length], LEVELS, EVAL.output_chunk_length, ("seed", "asset"), ("seed",))
+    s = smape_of(scores.filter("forecaster = 'naive'"), ["seed"])
     return s.agg(F.lit("Stratified").alias("strategy"), F.count(F.lit(1)).alias("n_seeds"),
                  _r6(F.avg("smape")).alias("mean_smape"), _r6(F.stddev_samp("smape")).alias("std_smape"))
 

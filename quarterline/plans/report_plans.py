@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import forecast as FC
 from ..operators import metrics as M
 from ..operators import reports as RP
+from ..operators.rolling import score_contexts, smape_of
 from ..operators.sampling import apply_strategy
 from ..schema import TARGETS, WindowParams
 from . import oracle as O
@@ -70,31 +71,17 @@ FORECASTERS = ("naive", "quantile_median")
 
 
 def lookback_trials(spark, sf_dir) -> DataFrame:
-    """Study over context length x forecaster on the whole hourly panel; each trial's
-    value is the element-weighted masked sMAPE; a trial without windows FAILs with NaN."""
-    panel = traded_panel(spark, sf_dir)
-    parts, trial = [], 0
-    for L in LOOKBACKS:
-        p = WindowParams(input_chunk_length=L, output_chunk_length=10)
-        base = FC.with_origins(panel, p)
-        for fc in FORECASTERS:
-            if fc == "naive":
-                d = FC.naive_last_value(base, L)
-                flat = {t: F.col(f"f_{t}") for t in TARGETS}
-            else:
-                d = FC.quantile_context(base, L, LEVELS)
-                flat = {t: F.element_at(F.col(f"q_{t}"), len(LEVELS) // 2 + 1) for t in TARGETS}
-            ev = FC.evaluation_frame(d, p, flat=flat)
-            agg = ev.agg(M.masked_smape_col().alias("_s"), F.count(F.lit(1)).alias("_n"))
-            parts.append(agg.select(
-                F.lit("lookback").alias("study"), F.lit(trial).alias("trial"),
-                F.when(F.col("_n") > 0, F.lit("COMPLETE")).otherwise(F.lit("FAIL")).alias("state"),
-                F.when(F.col("_n") > 0, F.round("_s", 6)).otherwise(F.lit(float("nan"))).alias("value"),
-                F.lit(None).cast("double").alias("duration_s"), F.lit(None).cast("double").alias("lr"),
-                F.lit(None).cast("int").alias("batch_size"), F.lit(L).alias("max_context_length"),
-                F.lit(fc).alias("forecaster")))
-            trial += 1
-    return reduce(DataFrame.unionByName, parts)
+    """Study over context length x forecaster on the whole hourly panel, all trials in one pass; each
+    trial's value is the element-weighted masked sMAPE; a trial without windows FAILs with NaN."""
+    scores = smape_of(score_contexts(traded_panel(spark, sf_dir), LOOKBACKS, LEVELS), ["forecaster", "max_context_length"])
+    grid = spark.createDataFrame([(k, L, fc) for k, (L, fc) in enumerate((L, fc) for L in LOOKBACKS for fc in FORECASTERS)],
+                                 "trial int, max_context_length int, forecaster string")
+    t = grid.join(scores, ["max_context_length", "forecaster"], "left")
+    done = F.col("n").isNotNull()
+    return t.select(F.lit("lookback").alias("study"), "trial", F.when(done, "COMPLETE").otherwise("FAIL").alias("state"),
+                    F.when(done, F.round("smape", 6)).otherwise(F.lit(float("nan"))).alias("value"),
+                    F.lit(None).cast("double").alias("duration_s"), F.lit(None).cast("double").alias("lr"),
+                    F.lit(None).cast("int").alias("batch_size"), "max_context_length", "forecaster")
 
 
 def _trials_sql() -> str:
