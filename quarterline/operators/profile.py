@@ -97,69 +97,90 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (
 
 
 _PAIR = "asset_a string, asset_b string, n double, sa double, sb double, saa double, sbb double, sab double"
+#: Contracts per side of a block of pairs: six 256 x 256 sums are 3 MB.
+PAIR_BLOCK = 256
 
 
-def _pair_sums():
+def _pair_sums(width: int):
     names_out = [c.split()[0] for c in _PAIR.split(", ")]
 
     def run(batches):
-        """Per task: for every pair of contracts, sums over the slots in which both are present. Rows come
-        sorted by slot; a slot cut by a batch's end waits for the rest. The state is n x n per task, with
-        n the contracts (at most the 672 valid names), whatever the number of slots."""
+        """For each block of pairs and bucket of slots that the task gets, one after the other: for every pair, sums
+        over the slots in which both contracts are present. Rows come sorted by (block, bucket, slot); a slot cut by a
+        batch's end waits for the rest. The state is width x width, whatever the number of contracts and slots."""
         import numpy as np
         import pyarrow as pa
 
-        index, sums, held = {}, np.zeros((4, 0, 0)), None
-
-        def add(t):
-            nonlocal sums
-            names = t["asset"].to_pylist()
-            for a in set(names) - index.keys():
-                index[a] = len(index)
-            if sums.shape[1] < len(index):
-                grown = np.zeros((4, len(index), len(index)))
-                grown[:, :sums.shape[1], :sums.shape[1]] = sums
-                sums = grown
-            slot = np.unique(t["slot"].to_numpy(), return_inverse=True)[1]
-            x = np.zeros((slot.max() + 1, len(index)))
-            here = np.zeros_like(x)
-            at = slot, [index[a] for a in names]
-            x[at], here[at] = t["x"].to_numpy(), 1.0
-            sums += np.stack([here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x])
+        class Block:
+            def __init__(self, bi, bj):
+                self.bi, self.bj, self.held = bi, bj, None
+                self.sums, self.names = np.zeros((6, width, width)), ({}, {})
 
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = t if held is None else pa.concat_tables([held, t.cast(held.schema)])
-            if t.num_rows:
+            def put(self, t):
+                t = t if self.held is None else pa.concat_tables([self.held, t])
                 slots = t["slot"].to_numpy()
-                cut = int(np.flatnonzero(slots == slots[-1])[0])
+                cut = int(np.searchsorted(slots, slots[-1]))
                 if cut:
-                    add(t.slice(0, cut))
-                held = t.slice(cut).combine_chunks()
-        if held is not None and held.num_rows:
-            add(held)
-        names = sorted(index)
-        for k, a in enumerate(names):
-            i, j = index[a], [index[b] for b in names[k + 1:]]
-            n, sab = sums[0, i, j], sums[3, i, j]
-            ok = n > 0
-            cols = (n, sums[1, i, j], sums[1, j, i], sums[2, i, j], sums[2, j, i], sab)
-            if ok.any():
-                other = [b for b, y in zip(names[k + 1:], ok) if y]
-                yield pa.record_batch([pa.array([a] * len(other)), pa.array(other), *[pa.array(c[ok]) for c in cols]],
-                                      names=names_out)
+                    self.add(t.slice(0, cut))
+                self.held = t.slice(cut).combine_chunks()
+
+            def add(self, t):
+                slot = np.unique(t["slot"].to_numpy(), return_inverse=True)[1]
+                idx, x, names = t["idx"].to_numpy(), t["x"].to_numpy(), t["asset"].to_pylist()
+                side = []
+                for b, known in ((self.bi, self.names[0]), (self.bj, self.names[1])):
+                    mine = np.flatnonzero(idx // width == b)
+                    value, here = np.zeros((slot[-1] + 1, width)), np.zeros((slot[-1] + 1, width))
+                    at = slot[mine], idx[mine] % width
+                    value[at], here[at] = x[mine], 1.0
+                    known.update((int(idx[k]) % width, names[k]) for k in mine.tolist())
+                    side.append((value, here))
+                    if self.bi == self.bj:
+                        self.names[1].update(known)
+                        side.append(side[0])
+                        break
+                (xa, ha), (xb, hb) = side
+                self.sums += np.stack([ha.T @ hb, xa.T @ hb, ha.T @ xb, (xa * xa).T @ hb, ha.T @ (xb * xb), xa.T @ xb])
+
+            def pairs(self):
+                if self.held is not None and self.held.num_rows:
+                    self.add(self.held)
+                for i, a in sorted(self.names[0].items()):
+                    js = [j for j in sorted(self.names[1]) if (self.bi < self.bj or i < j) and self.sums[0, i, j] > 0]
+                    if js:
+                        yield pa.record_batch([pa.array([a] * len(js)), pa.array([self.names[1][j] for j in js]),
+                                               *[pa.array(self.sums[k, i, js]) for k in range(6)]], names=names_out)
+
+        block, key = None, None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            if not t.num_rows:
+                continue
+            keys = np.stack([t[c].to_numpy() for c in ("bi", "bj", "bucket")])
+            starts = np.append(np.flatnonzero(np.append(True, (np.diff(keys) != 0).any(axis=0))), t.num_rows)
+            for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                now = tuple(keys[:, lo].tolist())
+                if now != key:
+                    if block is not None:
+                        yield from block.pairs()
+                    block, key = Block(now[0], now[1]), now
+                block.put(t.slice(lo, hi - lo).combine_chunks())
+        if block is not None:
+            yield from block.pairs()
 
     return run
 
 
-def cross_asset_correlation(df: DataFrame, value: str = "close", align: str = "ts") -> DataFrame:
+def cross_asset_correlation(df: DataFrame, value: str = "close", align: str = "ts", block: int = PAIR_BLOCK) -> DataFrame:
     """Pearson correlation of ``value`` between every pair of contracts (a < b) over the slots
     in which both have a value (pairwise complete), aligned on the slot (``align="ts"``) or on the row
     position in each contract (``align="position"``).
 
-    One path for any number of contracts: values are shifted by their contract's mean, each task adds
-    up Gram matrices of its slots, and the sums per pair are aggregated. Nothing is collected, no pair
-    row is emitted per slot. A pair without a common slot has no row; constant series give NULL.
+    Contracts are cut into blocks of ``block`` by name; a row goes to each block of pairs that its contract is in
+    (one while there are at most ``block`` contracts), spread over buckets of slots. Values are shifted by their
+    contract's mean, tasks add up Gram matrices of a block of pairs, and the sums per pair are aggregated. Nothing is
+    collected, no pair row is emitted per slot, and no task's state grows with the number of contracts or slots. A pair
+    without a common slot has no row; constant series give NULL.
     """
     d = df
     slot = F.unix_micros("ts")
@@ -168,9 +189,19 @@ def cross_asset_correlation(df: DataFrame, value: str = "close", align: str = "t
         slot = F.col("_pos").cast("long")
     d = d.select("asset", slot.alias("slot"), F.col(value).cast("double").alias("x")).filter(
         F.col("x").isNotNull() & ~F.isnan("x") & F.col("asset").isNotNull())
-    mean = d.groupBy("asset").agg(F.avg("x").alias("_mean"))
-    d = d.join(mean, "asset").select("asset", "slot", (F.col("x") - F.col("_mean")).alias("x"))
-    pairs = (d.repartition("slot").sortWithinPartitions("slot").mapInArrow(_pair_sums(), _PAIR)
+    # one row per contract: its mean and its place in the order of names
+    dim = d.groupBy("asset").agg(F.avg("x").alias("_mean")).withColumn(
+        "idx", (F.row_number().over(Window.orderBy("asset")) - 1).cast("long"))
+    n_blocks = -(-max(d.agg(F.count_distinct("asset")).first()[0], 1) // block)
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = max(1, -(-width // (n_blocks * (n_blocks + 1) // 2)))
+    own = F.floor(F.col("idx") / block).cast("long")
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("_o")
+    d = (d.join(dim, "asset").select("asset", "idx", "slot", (F.col("x") - F.col("_mean")).alias("x"), own.alias("_b"), others)
+         .select("asset", "idx", "slot", "x", F.least("_b", "_o").alias("bi"), F.greatest("_b", "_o").alias("bj"),
+                 F.pmod(F.xxhash64("slot"), F.lit(n_buckets)).alias("bucket")))
+    keys = ["bi", "bj", "bucket"]
+    pairs = (d.repartition(width, *keys).sortWithinPartitions(*keys, "slot").mapInArrow(_pair_sums(block), _PAIR)
              .groupBy("asset_a", "asset_b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")]))
     spread = lambda q, s: F.col(q) - F.col(s) * F.col(s) / F.col("n")
     va, vb = spread("saa", "sa"), spread("sbb", "sb")

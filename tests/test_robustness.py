@@ -24,15 +24,15 @@ def series(name, values):
     return [(name, T0 + timedelta(hours=k), 1.0, 1.0, v, 1.0) for k, v in enumerate(values) if v is not None]
 
 
-@pytest.mark.parametrize("n", [2, 8, 9, 10])
-def test_correlation_does_not_depend_on_the_number_of_contracts(spark, n):
+@pytest.mark.parametrize("n, block", [(2, 256), (8, 3), (9, 1), (10, 256), (10, 4)])
+def test_correlation_does_not_depend_on_the_number_of_contracts(spark, n, block):
     import pandas as pd
     base = [1.0, 4.0, 2.0, 8.0, 5.0, 7.0, 3.0, 6.0, 9.0, 2.5, 4.5, 1.5]
     gaps = [None if k in (1, 4, 7) else v * 2 + k % 3 for k, v in enumerate(base)]
     rows = series(NAMES[0], base) + series(NAMES[1], gaps)
     for k, name in enumerate(NAMES[2:n]):
         rows += series(name, [5.0] * 12 if k == 0 else [v * (k + 1) - j for j, v in enumerate(base[::-1])])
-    got = {(r.asset_a, r.asset_b): r.corr for r in cross_asset_correlation(panel_df(spark, rows)).collect()}
+    got = {(r.asset_a, r.asset_b): r.corr for r in cross_asset_correlation(panel_df(spark, rows), block=block).collect()}
     wide = pd.DataFrame(rows).pivot(index=1, columns=0, values=4).corr()
     assert len(got) == n * (n - 1) // 2
     for (a, b), c in got.items():
@@ -40,6 +40,24 @@ def test_correlation_does_not_depend_on_the_number_of_contracts(spark, n):
         assert (c is None and want != want) or c == pytest.approx(want, abs=1e-9)
 
 
+def test_correlation_of_five_thousand_contracts(spark):
+    """Far more names than a block holds: the state of a task stays one block of pairs."""
+    import numpy as np
+    n, slots = 5000, 6
+    x = np.round(np.random.default_rng(3).normal(size=(slots, n)), 6)
+    d = spark.range(n * slots).select(F.format_string("c%05d", (F.col("id") % n).cast("int")).alias("asset"),
+                                      F.timestamp_seconds(F.floor(F.col("id") / n) * 900).alias("ts"), F.col("id"))
+    values = spark.createDataFrame([(int(k), float(v)) for k, v in enumerate(x.ravel())], "id long, close double")
+    corr = cross_asset_correlation(d.join(values, "id"))
+    few = ["c00000", "c00255", "c00256", "c02600", "c04999"]
+    got = {(r.asset_a, r.asset_b): r.corr for r in corr.filter(F.col("asset_a").isin(few) & F.col("asset_b").isin(few)).collect()}
+    want = np.corrcoef(x[:, [int(c[1:]) for c in few]].T)
+    assert len(got) == 10
+    for i, a in enumerate(few):
+        for j in range(i + 1, 5):
+            assert got[a, few[j]] == pytest.approx(want[i, j], abs=1e-9)
+
+
 def test_correlation_by_position_and_empty(spark):
     rows = series(NAMES[0], [1.0, None, 2.0, 4.0]) + series(NAMES[1], [2.0, 4.0, 8.0])
     got = cross_asset_correlation(panel_df(spark, rows), align="position").collect()
