@@ -81,10 +81,11 @@ def with_places(df: DataFrame, keys: Sequence[str] = ("asset",), chunk_seconds:
 
 
 def rolling_context(df: DataFrame, lengths: Sequence[int], levels: Sequence[float], targets: Sequence[str] = TARGETS,
-                    keys: Sequence[str] = ("asset",), horizon: int = 0, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                    keys: Sequence[str] = ("asset",), horizon: int = 0, chunk_rows: int = CHUNK_ROWS,
+                    carry: Sequence[str] = ()) -> DataFrame:
     """For every row (with ``pos``) and each context length L: ``q<L>_<target>`` (quantiles at ``levels``) and
     ``f<L>_<target>`` (last non-zero value, else 0) of the last L rows, the row itself included. With ``horizon`` also
-    ``next``, the next rows' (ts, is_trading, targets) as an array of at most that many.
+    ``next``, the next rows' (ts, is_trading as m, targets, ``carry`` columns) as an array of at most that many.
 
     NULL and NaN values count as missing; a context without a value has NULL quantiles."""
     back, n_chunk = max(lengths) - 1, max(chunk_rows, max(lengths), horizon + 1)
@@ -97,7 +98,7 @@ def rolling_context(df: DataFrame, lengths: Sequence[int], levels: Sequence[floa
     new += [T.StructField(f"f{n}_{t}", T.DoubleType()) for n in lengths for t in targets]
     if horizon:
         step = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("m", T.DoubleType()),
-                             *[T.StructField(t, T.DoubleType()) for t in targets]])
+                             *[T.StructField(t, T.DoubleType()) for t in (*targets, *carry)]])
         new.append(T.StructField("next", T.ArrayType(step)))
     schema = T.StructType([*df.schema.fields, *new])
     SortedWindow, LastNonZero = window_types()
@@ -127,7 +128,8 @@ def rolling_context(df: DataFrame, lengths: Sequence[int], levels: Sequence[floa
                 mine = mine.append_column(f.name, out[f.name])
         if horizon:
             steps = pa.StructArray.from_arrays([table.column("ts").combine_chunks(), table.column("is_trading").cast(pa.float64()).combine_chunks(),
-                                                *[table.column(t).cast(pa.float64()).combine_chunks() for t in targets]], ["ts", "m", *targets])
+                                                *[table.column(t).cast(pa.float64()).combine_chunks() for t in (*targets, *carry)]],
+                                              ["ts", "m", *targets, *carry])
             at = [k for k, m in enumerate(own.tolist()) if m]
             ends = [min(k + 1 + horizon, len(pos)) for k in at]
             bounds = [0]

@@ -41,4 +41,4 @@ def _load() -> None:
     # importing the plan modules fills the registry
     from . import (panel_plans, feature_plans, model_plans, segment_plans,  # noqa: F401
                    profile_plans, report_plans, window_plans, ingest_plans,
-                   extra_plans, forecast_plans, hot_plans)
+                   extra_plans, forecast_plans, hot_plans, learner_plans)

@@ -3,8 +3,6 @@ W11, F25, F26, A21, A23, S20, R14, R15."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from ..functions.calendar import daylight_indicator, minute_of_day
 from ..operators import forecast as FC
 from ..operators import metrics as M
 from ..operators.features import featurize, rolling_nonzero_mean
-from ..operators.ml import gbt_forecast, ridge_stack
+from ..operators.ml import gbt_forecast
 from ..operators.rolling import score_contexts, smape_of
 from ..operators.sampling import stratified_by
 from ..schema import TARGETS, FeatureParams
@@ -162,35 +160,6 @@ def r14_gbt_forecast(spark, sf_dir):
     return M.smape(ev).select(F.lit("gbt").alias("model"), F.lit("close").alias("target"), "smape", "n_scored")
 
 
-@register("r15_ridge_stack")
-def r15_ridge_stack(spark, sf_dir):
-    """Ridge stack of naive, calendar-mean and quantile-median forecasts (trained on training
-    windows, joined on (window, h, target) as in J11), scored on validation windows. The calendar
-    profile is fitted on the first two weeks and the ridge on the rest of the training split, on steps
-    that count (m = 1): no label is inside an input of its own row."""
-    sp = split_panel(spark, sf_dir)
-    early = F.col("ts") < F.to_timestamp(F.lit("2024-01-15"))
-    prof = FC.calendar_profile(sp.filter("split = 'train'").filter(early))
-
-    def frames(rows):
-        base = FC.with_origins(rows, EVAL)
-        n = FC.evaluation_frame(FC.naive_last_value(base, EVAL.input_chunk_length), EVAL,
-                                flat={t: F.col(f"f_{t}") for t in TARGETS})
-        q = FC.evaluation_frame(FC.quantile_context(base, EVAL.input_chunk_length, LEVELS), EVAL,
-                                flat={t: F.element_at(F.col(f"q_{t}"), 2) for t in TARGETS})
-        c = FC.evaluation_frame(FC.with_calendar_mean(base, prof), EVAL, per_row={t: F.col(f"g_{t}") for t in TARGETS})
-        keys = ["window_id", "h", "target"]
-        return (n.withColumnRenamed("p", "p_naive")
-                 .join(q.select(*keys, F.col("p").alias("p_quantile")), keys)
-                 .join(c.select(*keys, F.col("p").alias("p_calendar")), keys))
-
-    tr = frames(sp.filter("split = 'train'").filter(~early).drop("split")).filter("m = 1")
-    va = frames(sp.filter("split = 'val'").drop("split"))
-    pred = ridge_stack(tr, va, ["p_naive", "p_quantile", "p_calendar"], reg_param=1.0)
-    ev = pred.select("target", "y", F.col("prediction").alias("p"), "m")
-    return M.smape(ev, ["target"]).select(F.lit("ridge_stack").alias("model"), "target", "smape", "n_scored")
-
-
 @register("a14_smape_scaled_space", f"""
     WITH e AS ({NAIVE_EVAL_SQL}), s AS ({O.scalers_sql(SPLIT_1H)}),
     z AS (SELECT e.target, e.m, (e.y - coalesce(s.mean, 0)) / coalesce(s.scale, 1) AS y,
