@@ -86,13 +86,25 @@ def model_comparison(scores: DataFrame, baseline_models: Sequence[str]) -> DataF
                   .withColumn("beats_baseline", F.col("smape") < F.col("baseline_smape")))
 
 
+def error_by_dimension(ev_with_ts: DataFrame, buckets: DataFrame | None = None, eps: float = 1e-6) -> DataFrame:
+    """(dimension, value, smape) by hour of day, weekday and, with ``buckets`` (asset, bucket: one row per
+    contract), liquidity bucket of the target row; one pass with grouping sets, values as text."""
+    cols = {"hour": F.hour("target_ts").cast("string"), "weekday": F.weekday("target_ts").cast("string")}
+    d = ev_with_ts
+    if buckets is not None:
+        d = d.join(buckets.select("asset", F.col("bucket").alias("_bucket")), "asset")
+        cols["liquidity"] = F.col("_bucket")
+    d = d.select("y", "p", "m", *[c.alias(n) for n, c in cols.items()])
+    names = list(cols)
+    g = d.groupingSets([[F.col(n)] for n in names], *[F.col(n) for n in names]).agg(
+        masked_smape("y", "p", "m", eps).alias("smape"), *[F.grouping(n).alias(f"_g_{n}") for n in names])
+    dimension = F.coalesce(*[F.when(F.col(f"_g_{n}") == 0, F.lit(n)) for n in names])
+    return g.select(dimension.alias("dimension"), F.coalesce(*names).alias("value"), "smape")
+
+
 def error_by_calendar(ev_with_ts: DataFrame, eps: float = 1e-6) -> DataFrame:
     """sMAPE by hour of day and by weekday of the target row."""
-    by_hour = ev_with_ts.groupBy(F.lit("hour").alias("dimension"), F.hour("target_ts").alias("value")).agg(
-        masked_smape("y", "p", "m", eps).alias("smape"))
-    by_dow = ev_with_ts.groupBy(F.lit("weekday").alias("dimension"), F.weekday("target_ts").alias("value")).agg(
-        masked_smape("y", "p", "m", eps).alias("smape"))
-    return by_hour.unionByName(by_dow)
+    return error_by_dimension(ev_with_ts, None, eps).withColumn("value", F.col("value").cast("int"))
 
 
 def join_forecasts(forecasts: DataFrame, truths: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_small
-from ..functions.cleaning import covariate_columns, non_finite_to_null
+from ..functions.cleaning import covariate_columns, drop_time_zone, non_finite_to_null
 from ..schema import TARGETS
 from .chunks import fill_series_chunked, reclock_chunked
 from .sampling import apply_strategy
@@ -49,12 +49,14 @@ def min_length_both_sides(df: DataFrame, min_rows: int, splits: Sequence[str] =
 
 def prepare_series(featured: DataFrame, strategy: str, input_chunk_length: int, output_chunk_length: int,
                    starts: dict[str, str] | None = None, step_minutes: int = 15,
-                   targets: Sequence[str] = TARGETS, chunk_seconds: int | None = None, **strategy_kw) -> DataFrame:
+                   targets: Sequence[str] = TARGETS, chunk_seconds: int | None = None, as_float: bool = False,
+                   naive_time: bool = False, **strategy_kw) -> DataFrame:
     """Strategy per split -> contracts long enough on both sides (L_in + L_out + 10) ->
     clean and fill every numeric column -> continuous synthetic clock per split (W9).
 
     One pass: every per-series window is keyed by (split, asset), so the splits share one
-    exchange instead of a filter + union branch per split (which would recompute the input)."""
+    exchange instead of a filter + union branch per split (which would recompute the input).
+    ``as_float`` casts the numeric columns to FLOAT (F16), ``naive_time`` drops the time zone (F17)."""
     starts = starts or {"train": "2020-01-01 00:00:00", "val": "2021-01-01 00:00:00"}
     keys = ("split", "asset")
     sampled = apply_strategy(featured.filter(F.col("split").isin(list(starts))), strategy,
@@ -63,8 +65,11 @@ def prepare_series(featured: DataFrame, strategy: str, input_chunk_length: int,
     num = [*targets, *[c for c in covariate_columns(sampled, targets) if c not in ("idx", "n_assets")]]
     num = [c for c in num if dict(sampled.dtypes).get(c) in ("double", "float", "int", "bigint")]
     filled = fill_series(sampled, num, keys, chunk_seconds).withColumn("orig_ts", F.col("ts"))
+    if as_float:
+        filled = filled.withColumns({c: F.col(c).cast("float") for c in num})
     start = F.coalesce(*[F.when(F.col("split") == s, F.to_timestamp(F.lit(t0))) for s, t0 in starts.items()])
-    return reclock_by(filled, start, step_minutes, keys, chunk_seconds)
+    out = reclock_by(filled, start, step_minutes, keys, chunk_seconds)
+    return drop_time_zone(drop_time_zone(out, "ts"), "orig_ts") if naive_time else out
 
 
 def reclock_by(df: DataFrame, start, step_minutes: int, by: Sequence[str] = ("asset",),

@@ -92,7 +92,13 @@ def hybrid(df: DataFrame, non_trading_fraction: float = 0.05, window_before: int
     return d.filter("keep_hybrid").drop("keep_hybrid", "keep_boundary", "change")
 
 
+def original(df: DataFrame, keys=("asset",), chunk_seconds: int | None = None) -> DataFrame:
+    """All rows (the arguments are for a uniform signature)."""
+    return df
+
+
 STRATEGIES: dict[str, Callable[..., DataFrame]] = {
+    "original": original,
     "trading_only": trading_only,
     "stratified": stratified,
     "boundary_aware": boundary_aware,

@@ -61,3 +61,25 @@ def liquidity_buckets(df: DataFrame, top: float = 0.2, bottom: float = 0.2,
     return (liq.withColumn("bucket_rank", within)
                .withColumn("representative", (F.col("bucket_rank") <= quota).cast("int"))
                .select("asset", "liquidity", "bucket", "bucket_rank", "representative"))
+
+
+# Seasons in order of month mod 12, three months each.
+SEASONS = ("winter", "spring", "summer", "autumn")
+
+
+def seasonal_blocks(df: DataFrame, block_days: int = 28, per_season: int = 1, seed: int = 827) -> DataFrame:
+    """P10: rows of whole blocks of ``block_days`` days (numbered from the epoch), ``per_season`` of every contract
+    and season, chosen by ``md5(seed | asset | block)``; adds ``season`` and ``block``.
+
+    A block counts if all its days have rows and lie in one season. The choice is made on the index of (contract,
+    block), never on the panel's rows; a season with fewer blocks gives those it has.
+    """
+    day = F.floor(F.unix_seconds("ts") / 86400).cast("long")
+    number = F.floor((F.month("ts") % 12) / 3).cast("int")
+    d = df.withColumns({"block": F.floor(day / block_days).cast("long"), "_season": number})
+    index = d.groupBy("asset", "block").agg(F.min("_season").alias("_s"), F.max("_season").alias("_t"), F.count_distinct(day).alias("_days"))
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("asset"), F.col("block").cast("string")))
+    rank = F.row_number().over(Window.partitionBy("asset", "_s").orderBy(key))
+    chosen = index.filter((F.col("_s") == F.col("_t")) & (F.col("_days") == block_days)).withColumn("_n", rank).filter(F.col("_n") <= per_season)
+    rows = d.join(chosen.select("asset", "block"), ["asset", "block"], "left_semi")
+    return rows.withColumn("season", F.element_at(F.array(*[F.lit(x) for x in SEASONS]), F.col("_season") + 1)).drop("_season")

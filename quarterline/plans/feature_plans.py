@@ -22,7 +22,7 @@ def features_1h(spark, sf_dir):
     return _rounded_features(events_panel(spark, sf_dir, HOUR))
 
 
-@register("features_brands_daily", O.features_sql(O.brand_panel_sql()))
+@register("features_brands_daily", O.features_sql(O.brand_panel_sql(), joined=False))
 def features_brands_daily(spark, sf_dir):
     """The featured table on daily brand candles (25 contracts, 1995-2001)."""
     return _rounded_features(brand_panel(spark, sf_dir))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import sampling as S
 from ..operators.prepare import fill_series, prepare_series, reclock_by
+from ..operators.rolling import score_contexts, smape_of
 from ..operators.segments import boundary_flag, segment_stats, with_segments
 from ..operators.selection import describe_refined
 from ..operators.split import split_by_dates
@@ -16,7 +17,7 @@ from ..sources.candles import hot_panel
 from ..sources.panel_io import write_trading_segments
 from . import oracle as O
 from .catalog import register
-from .model_plans import VAL_START
+from .model_plans import LEVELS, VAL_START
 
 DAY = 86400  # chunk width: the events cover one month
 HOT = O.hot_panel_sql()
@@ -134,6 +135,38 @@ def p07_hot_prepare_series(spark, sf_dir):
     return out.select("split", "asset", "orig_ts", "ts", *TARGETS)
 
 
+@register("p07_original_series", f"""
+    WITH s AS (SELECT *, CASE WHEN ts < TIMESTAMP '{VAL_START}' THEN 'train' ELSE 'val' END AS split FROM ({HOT})),
+    ok AS (SELECT asset FROM s GROUP BY asset
+           HAVING count(*) FILTER (WHERE split = 'train') >= 44 AND count(*) FILTER (WHERE split = 'val') >= 44)
+    SELECT split, asset, ts AS orig_ts,
+           CASE split WHEN 'train' THEN TIMESTAMP '2020-01-01 00:00:00' ELSE TIMESTAMP '2021-01-01 00:00:00' END
+             + (row_number() OVER (PARTITION BY split, asset ORDER BY ts) - 1) * INTERVAL 15 MINUTE AS ts,
+           high::FLOAT::DOUBLE AS high, low::FLOAT::DOUBLE AS low, close::FLOAT::DOUBLE AS close, volume::FLOAT::DOUBLE AS volume
+    FROM s WHERE asset IN (SELECT asset FROM ok)""")
+def p07_original_series(spark, sf_dir):
+    """P7 with the Original strategy (all rows), FLOAT values (F16) and times without a zone."""
+    out = prepare_series(split_by_dates(hot_panel(spark, sf_dir), VAL_START), "Original", 24, 10, chunk_seconds=DAY, as_float=True, naive_time=True)
+    return out.select("split", "asset", "orig_ts", "ts", *[F.col(c).cast("double").alias(c) for c in TARGETS])
+
+
+@register("f08_flag_by_volume", f"""
+    SELECT asset, ts, is_trading, island_len AS segment_length FROM ({O.islands_sql(HOT)}) WHERE is_trading = 1""")
+def f08_flag_by_volume(spark, sf_dir):
+    """F8: a panel without the flag column; segments take volume > 0."""
+    p = hot_panel(spark, sf_dir).drop("is_trading")
+    return with_segments(p, chunk_seconds=DAY).filter("is_trading = 1").select("asset", "ts", "is_trading", "segment_length")
+
+
+@register("r16_hot_lookback", " UNION ALL ".join(f"""
+    SELECT '{fc}' AS forecaster, {n} AS max_context_length, round({O.smape_agg_sql()}, 6) AS smape
+    FROM ({O.eval_sql(HOT, n, 10, kind, LEVELS)})""" for n in (24, 96) for fc, kind in (("naive", "naive"), ("quantile_median", "quantile"))))
+def r16_hot_lookback(spark, sf_dir):
+    """R16 where one contract holds a third of the rows: positions and contexts by chunks."""
+    s = score_contexts(hot_panel(spark, sf_dir), (24, 96), LEVELS, chunk_seconds=DAY, chunk_rows=512)
+    return smape_of(s, ["forecaster", "max_context_length"]).select("forecaster", "max_context_length", F.round("smape", 6).alias("smape"))
+
+
 @register("a04_hot_describe", f"""
     SELECT asset, column_name, count(x) AS count, avg(x) AS mean, stddev_samp(x) AS std, min(x) AS min,
            quantile_cont(x, 0.25) AS p25, quantile_cont(x, 0.5) AS p50, quantile_cont(x, 0.75) AS p75, max(x) AS max

@@ -13,7 +13,7 @@ from ..operators.segments import trading_segments
 from ..sources.candles import events_panel
 from ..sources.csv_ingest import asset_manifest, ingest_csv, read_panel
 from ..sources.guarded import guarded_scan
-from ..sources.panel_io import read_json_report, write_json_report, write_split, write_subsampled, \
+from ..sources.panel_io import read_json_report, subsample_report, write_json_report, write_split, write_subsampled, \
     write_trading_segments
 from ..session import scratch_path
 from ..streaming.candles import latest_candles, stream_event_candles
@@ -118,6 +118,22 @@ def s19_subsampled_report(spark, sf_dir):
     return by_split
 
 
+_BUSY = f"SELECT * REPLACE ((volume >= 4)::INTEGER AS is_trading) FROM ({O.traded_sql(O.event_panel_sql(QUARTER))})"
+
+
+@register("s19_processed_skipped", f"""
+    WITH p AS (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-22' THEN 'train' ELSE 'val' END AS split FROM ({_BUSY})),
+    n AS (SELECT split, asset, count(*) FILTER (is_trading = 1) AS n FROM p GROUP BY split, asset)
+    SELECT split, count(*) FILTER (n > 0) AS processed, sum(n)::BIGINT AS rows,
+           coalesce(string_agg(asset, ',' ORDER BY asset) FILTER (n = 0), '') AS skipped
+    FROM n GROUP BY split""")
+def s19_processed_skipped(spark, sf_dir):
+    """S19 report: slots with 4 and more ticks trade; contracts without any in a split are skipped there and named."""
+    p = events_panel(spark, sf_dir, QUARTER).withColumn("is_trading", (F.col("volume") >= 4).cast("int"))
+    p = p.withColumn("split", F.when(F.col("ts") < F.to_timestamp(F.lit("2024-01-22")), "train").otherwise("val"))
+    return subsample_report(p, *write_subsampled(p, scratch_path(spark, "busy"), "Trading-Only"))
+
+
 @register("s14_json_report_roundtrip", f"SELECT * FROM ({_cmp_sql()})")
 def s14_json_report_roundtrip(spark, sf_dir):
     """S14 + S15: the strategy comparison written as a JSON report and read back."""

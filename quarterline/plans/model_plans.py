@@ -8,7 +8,7 @@ from ..operators import forecast as FC
 from ..operators import metrics as M
 from ..operators.features import featurize
 from ..operators.scale import apply_scalers, fit_scalers
-from ..operators.split import liquidity_buckets, split_by_dates, split_by_years
+from ..operators.split import liquidity_buckets, seasonal_blocks, split_by_dates, split_by_years
 from ..schema import TARGETS, WindowParams
 from ..sources.candles import brand_panel
 from . import oracle as O
@@ -42,7 +42,7 @@ def p06_date_split_features(spark, sf_dir):
 @register("p06_year_split_brands", f"""
     SELECT * FROM (SELECT *, CASE WHEN year(ts) BETWEEN 1995 AND 1998 THEN 'train'
                                   WHEN year(ts) = 1999 THEN 'val' END AS split
-                   FROM ({O.features_sql(O.brand_panel_sql())})) WHERE split IS NOT NULL""")
+                   FROM ({O.features_sql(O.brand_panel_sql(), joined=False)})) WHERE split IS NOT NULL""")
 def p06_year_split_brands(spark, sf_dir):
     """P6 with year sets: 1995-1998 train, 1999 val, other years dropped."""
     from .feature_plans import _rounded_features
@@ -260,3 +260,46 @@ def a16_model_comparison(spark, sf_dir):
 def a22_error_by_calendar(spark, sf_dir):
     """Naive-forecast error by hour of day and weekday of the forecast target."""
     return M.error_by_calendar(naive_eval(spark, sf_dir)).withColumn("smape", _r6(F.col("smape")))
+
+
+@register("a22_error_by_liquidity", f"""
+    WITH e AS MATERIALIZED ({NAIVE_EVAL_SQL}),
+    l AS (SELECT asset, avg(is_trading) AS liquidity FROM ({TRADED_1H}) GROUP BY asset),
+    r AS (SELECT *, row_number() OVER (ORDER BY liquidity DESC, asset) AS rk, count(*) OVER () AS n FROM l),
+    b AS (SELECT asset, CASE WHEN rk <= ceil(n * 0.2) THEN 'top' WHEN rk > n - ceil(n * 0.2) THEN 'bottom' ELSE 'mid' END AS bucket FROM r)
+    SELECT 'hour' AS dimension, hour(target_ts)::VARCHAR AS value, round({O.smape_agg_sql()}, 6) AS smape FROM e GROUP BY 2
+    UNION ALL SELECT 'weekday', (isodow(target_ts) - 1)::VARCHAR, round({O.smape_agg_sql()}, 6) FROM e GROUP BY 2
+    UNION ALL SELECT 'liquidity', bucket, round({O.smape_agg_sql()}, 6) FROM e JOIN b USING (asset) GROUP BY 2""")
+def a22_error_by_liquidity(spark, sf_dir):
+    """Error by hour, weekday and liquidity bucket in one pass."""
+    buckets = liquidity_buckets(traded_panel(spark, sf_dir))
+    return M.error_by_dimension(naive_eval(spark, sf_dir), buckets).withColumn("smape", _r6(F.col("smape")))
+
+
+BLOCK_DAYS, SEED = 28, 827
+_SEASON = "((month({}) % 12) // 3)"
+
+
+@register("p10_seasonal_blocks", f"""
+    WITH t AS MATERIALIZED ({O.traded_sql(O.brand_panel_sql())}),
+    l AS (SELECT asset, avg(is_trading) AS liquidity FROM t GROUP BY asset),
+    r AS (SELECT *, row_number() OVER (ORDER BY liquidity DESC, asset) AS rk, count(*) OVER () AS n FROM l),
+    b AS (SELECT *, CASE WHEN rk <= ceil(n * 0.2) THEN 'top' WHEN rk > n - ceil(n * 0.2) THEN 'bottom' ELSE 'mid' END AS bucket FROM r),
+    k AS (SELECT asset, bucket, row_number() OVER (PARTITION BY bucket ORDER BY liquidity DESC, asset) AS br FROM b),
+    rep AS (SELECT asset, bucket FROM k WHERE br <= CASE bucket WHEN 'top' THEN 3 WHEN 'mid' THEN 3 ELSE 2 END),
+    d AS (SELECT t.*, rep.bucket, (epoch(ts)::BIGINT // 86400) // {BLOCK_DAYS} AS block, {_SEASON.format('ts')} AS season_no
+          FROM t JOIN rep USING (asset)),
+    i AS (SELECT asset, block, min(season_no) AS season_no FROM d GROUP BY asset, block
+          HAVING min(season_no) = max(season_no) AND count(DISTINCT epoch(ts)::BIGINT // 86400) = {BLOCK_DAYS}),
+    p AS (SELECT *, row_number() OVER (PARTITION BY asset, season_no
+                                       ORDER BY md5('{SEED}' || '|' || asset || '|' || block::VARCHAR)) AS n FROM i)
+    SELECT d.bucket, d.asset, d.ts, ['winter', 'spring', 'summer', 'autumn'][d.season_no + 1] AS season, d.block, d.close, d.is_trading
+    FROM d JOIN p ON p.asset = d.asset AND p.block = d.block WHERE p.n <= 2""")
+def p10_seasonal_blocks(spark, sf_dir):
+    """P10: of the 3/3/2 representatives two whole 28-day blocks per season, chosen by hash."""
+    from ..functions.calendar import is_trading
+    p = brand_panel(spark, sf_dir)
+    p = p.withColumn("is_trading", is_trading(p))
+    reps = liquidity_buckets(p).filter("representative = 1").select("asset", "bucket")
+    rows = seasonal_blocks(p.join(reps, "asset"), BLOCK_DAYS, 2, SEED)
+    return rows.select("bucket", "asset", "ts", "season", "block", "close", "is_trading")

@@ -75,11 +75,8 @@ def densify(candle_df: DataFrame, step_seconds: int) -> DataFrame:
             .select((F.col("id") / F.lit(n_slots)).cast("long").alias("idx"),
                     F.timestamp_seconds(F.lit(b["lo"]) + (F.col("id") % n_slots) * F.lit(step_seconds)).alias("ts")))
     grid = join_small(grid, dim, on="idx", how="inner", known_rows=n_assets).drop("idx")
-    # Co-partition both sides by asset: the join then needs no extra exchange and the
-    # per-asset window functions downstream reuse this partitioning.
-    panel = (grid.repartition("asset")
-             .join(candle_df.repartition("asset"), on=["asset", "ts"], how="left")
-             .fillna(0.0, subset=list(TARGETS)))
+    # the join deals both sides by (asset, ts): even, whatever a contract holds
+    panel = grid.join(candle_df, on=["asset", "ts"], how="left").fillna(0.0, subset=list(TARGETS))
     return panel.select("asset", "ts", *TARGETS)
 
 
@@ -97,7 +94,7 @@ def events_candles(spark: SparkSession, sf_dir: str, bucket_seconds: int = 3600,
 def events_panel(spark: SparkSession, sf_dir: str, bucket_seconds: int = 3600,
                  n_contracts: int = 24) -> DataFrame:
     """FX1 panel: events candles on the dense grid (checkpointed once, then reused)."""
-    key = ("events", sf_dir, bucket_seconds, n_contracts)
+    key = ("events", sf_dir, bucket_seconds, n_contracts, _stamp(spark, sf_dir, "events"))
     cached = _PANELS.get((_app(spark), key))
     if cached is not None:
         return cached
@@ -127,7 +124,7 @@ def brand_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brand_panel(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFrame:
-    key = ("brand", sf_dir, dense)
+    key = ("brand", sf_dir, dense, _stamp(spark, sf_dir, "lineitem", "part"))
     cached = _PANELS.get((_app(spark), key))
     if cached is not None:
         return cached
@@ -142,7 +139,7 @@ def hot_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``events`` ticks, contract = name(0) for users divisible by 3, else name(user_id mod 24). Clicks, purchases
     and signups are trades, other events only quotes: volume counts trades, and slots without any do not trade."""
-    key = ("hot", sf_dir)
+    key = ("hot", sf_dir, _stamp(spark, sf_dir, "events"))
     cached = _PANELS.get((_app(spark), key))
     if cached is not None:
         return cached
@@ -162,6 +159,12 @@ def hot_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PANELS: dict = {}
 
 
+def _stamp(spark: SparkSession, sf_dir: str, *tables: str) -> tuple:
+    """Files, bytes and latest change of the tables: a panel is not used again after they change."""
+    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in tables])
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first())
+
+
 def _app(spark: SparkSession) -> str:
     return spark.sparkContext.applicationId
 

@@ -73,10 +73,19 @@ def write_subsampled(df: DataFrame, out: str, strategy: str,
     written = df.sparkSession.read.parquet(out)
     by_split = written.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows"),
                                            F.count_distinct("asset").alias("assets"))
-    skipped = df.select("asset").distinct().join(written.select("asset").distinct(), "asset", "left_anti")
+    skipped = df.select(*parts, "asset").distinct().join(written.select(*parts, "asset").distinct(), [*parts, "asset"], "left_anti")
     return by_split, skipped
 
 
+def subsample_report(df: DataFrame, by_split: DataFrame, skipped: DataFrame) -> DataFrame:
+    """S19, one row per split of ``df``: contracts processed and rows written, and the sorted list of those skipped."""
+    lost = skipped.groupBy("split").agg(F.array_sort(F.collect_list("asset")).alias("skipped"))  # contract names
+    every = df.select("split").distinct().join(by_split, "split", "left").join(lost, "split", "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    return every.select("split", zero("assets").alias("processed"), zero("rows").alias("rows"),
+                        F.concat_ws(",", F.coalesce("skipped", F.array().cast("array<string>"))).alias("skipped"))
+
+
 def export_forecasts_csv(forecasts: DataFrame, out: str) -> None:
     """Forecast export as CSV with a header."""
     forecasts.write.mode("overwrite").option("header", True).csv(out)

@@ -57,9 +57,15 @@ def stream_event_candles(spark: SparkSession, events_path: str, out: str, checkp
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
 
-    q = (candles.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(sink).trigger(availableNow=True).start())
-    q.awaitTermination()
+    # the progress of every batch is kept for the count of late rows, not of the last hundred
+    keep, before = "spark.sql.streaming.numRecentProgressUpdates", spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", None)
+    spark.conf.set(keep, "1000000")
+    try:
+        q = (candles.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+             .foreachBatch(sink).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.unset(keep) if before is None else spark.conf.set(keep, before)
     return sum(int(s["numRowsDroppedByWatermark"]) for p in q.recentProgress for s in p["stateOperators"])
 
 
