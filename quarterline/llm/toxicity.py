@@ -5,10 +5,11 @@ one or two words between, each hashed to 32 bits. FTRL-proximal gives every coor
 rate of its own and keeps it at exactly zero until its evidence passes the L1 threshold, so of
 millions of coordinates a few hundred carry weight: the model is a short list that is broadcast.
 
-Fit. A bounded sample of labelled documents (``sample_docs``, by hash of doc_id) is split: one part in
-``CALIBRATION`` for calibration, the others to learners of about ``learner_docs`` documents that run
-in parallel; their weights are averaged. The margin of the averaged model is calibrated by logistic
-regression on the calibration part, so that 0.5 is the even-odds score.
+Fit. A bounded sample of labelled documents (``sample_docs``, by hash of doc_id) goes to learners of about
+``learner_docs`` documents that run in parallel; their weights are averaged. Beside this model, one for each of
+``CALIBRATION`` parts of the sample is learned from the other parts: the margins of every part by the model that has
+not seen it calibrate the score by logistic regression, so that 0.5 is the even-odds score and no label is held back
+from the weights.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quarterline.llm.common import packed, smallest, text_or_empty, written
 
-SAMPLE_DOCS, LEARNER_DOCS, CALIBRATION = 12_000, 4_000, 5
+SAMPLE_DOCS, LEARNER_DOCS, CALIBRATION = 12_000, 4_000, 4
 SAMPLE_CHARS = 100_000  # longer documents are left out of the sample, not out of the scoring
 ALPHA, BETA, L1, L2, EPOCHS, MIN_DOCS = 1.0, 1.0, 10.0, 0.0, 6, 5
 FOLDS = 5
@@ -132,7 +133,7 @@ def _learn(table: pa.Table) -> pa.Table:
         pairs = np.unique(np.asarray(d, np.uint64) << np.uint64(32) | np.asarray(c, np.uint64))
         cut = np.searchsorted(pairs >> np.uint64(32), np.arange(part.stop - part.start + 1))
         found += [pairs[a:b].astype(np.uint32) for a, b in zip(cut[:-1], cut[1:])]
-    coords, n = np.unique(np.concatenate(found), return_counts=True)
+    coords, n = np.unique(np.concatenate(found or [np.zeros(0, np.uint32)]), return_counts=True)
     coords = coords[n >= MIN_DOCS]
     docs = []
     for f in found:
@@ -146,6 +147,11 @@ def _learn(table: pa.Table) -> pa.Table:
                      "weight": pa.array(np.append(w[keep], bias))})
 
 
+def _learn_for(key: tuple, table: pa.Table) -> pa.Table:
+    learned = _learn(table)
+    return learned.add_column(0, "model", pa.array([key[0].as_py()] * len(learned), pa.int32()))
+
+
 def _calibrate(margin: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, float]:
     """Logistic regression of the label on the margin (Newton steps, targets smoothed as by Platt)."""
     pos, neg = y.sum(), len(y) - y.sum()
@@ -184,21 +190,29 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = written(sample, "toxic-sample")
     if not sample.filter("label = 1").head(1):
         return Model(np.zeros(0, np.int64), np.zeros(0), -6.0)
-    learners = max(1, round(sample.count() * (CALIBRATION - 1) / CALIBRATION / learner_docs))
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(CALIBRATION))
-    train = (sample.filter(part > 0).withColumn("learner", F.pmod(F.xxhash64("doc_id", F.lit("learner")), F.lit(learners)))
-             .groupBy("learner").applyInArrow(_learn, "coord long, weight double"))
-    rows = train.groupBy("coord").agg((F.sum("weight") / learners).alias("weight")).collect()  # L1 keeps hundreds
-    w = {r.coord: r.weight for r in rows}
-    bias = w.pop(-1, 0.0)
-    model = Model(np.array(list(w), np.int64), np.array(list(w.values()), float), bias)
-    shared = spark.sparkContext.broadcast(model)
+    learners = max(1, round(sample.count() / learner_docs))
+    # a row goes to the models of the other parts (0, 1, ...) and to the one that is returned (-1)
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(CALIBRATION)).cast("int")
+    models = F.explode(F.filter(F.sequence(F.lit(-1), F.lit(CALIBRATION - 1)), lambda k: k != part)).alias("model")
+    train = (sample.select("*", models, F.pmod(F.xxhash64("doc_id", F.lit("learner")), F.lit(learners)).alias("learner"))
+             .groupBy("model", "learner").applyInArrow(_learn_for, "model int, coord long, weight double"))
+    rows = train.groupBy("model", "coord").agg((F.sum("weight") / learners).alias("weight")).collect()  # L1 keeps hundreds
+    found = {k: {r.coord: r.weight for r in rows if r.model == k} for k in range(-1, CALIBRATION)}
+    made = {k: Model(np.array([c for c in w if c >= 0], np.int64), np.array([v for c, v in w.items() if c >= 0], float), w.get(-1, 0.0))
+            for k, w in found.items()}
+    shared = spark.sparkContext.broadcast(made)
 
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.record_batch([pa.array(shared.value.margins(b["text"].to_pylist())), b["label"]], names=["m", "label"])
-
-    seen = sample.filter(part == 0).select("text", "label").mapInArrow(margins, "m double, label int").collect()
+            texts, parts = b["text"].to_pylist(), b["part"].to_numpy()
+            m = np.zeros(len(texts))
+            for k in np.unique(parts).tolist():
+                mine = np.flatnonzero(parts == k)
+                m[mine] = shared.value[k].margins([texts[i] for i in mine.tolist()])
+            yield pa.record_batch([pa.array(m), b["label"]], names=["m", "label"])
+
+    seen = sample.select("text", "label", part.alias("part")).mapInArrow(margins, "m double, label int").collect()  # at most sample_docs rows
+    model = made[-1]
     model.scale, model.shift = _calibrate(np.array([r.m for r in seen]), np.array([r.label for r in seen]))
     return model
 
@@ -225,5 +239,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that score below 0.5, with all their columns."""
+    """The documents that score below 0.5, with all their columns and whole texts.
+
+    Null and empty texts have the score of a text without known words; repeated rows are kept or dropped alike;
+    without a toxic label nothing is dropped; an empty table stays empty; clashing column names do not matter."""
     return scored(docs, fit(docs, labels)).filter("score < 0.5").select("row.*")

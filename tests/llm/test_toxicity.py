@@ -68,3 +68,50 @@ def test_ftrl_is_sparse_and_margins_ignore_repetition():
     assert m.margins(["zork", "zork zork ZORK", "", "other"]).tolist() == [1.0, 1.0, -1.0, -1.0]
     long = "pad " * 3_000_000 + "zork"
     assert m.margins([long]).tolist() == [1.0]
+
+
+def plain_ftrl(docs, labels, size, alpha, beta, l1, l2, epochs, seed):
+    """The published per-coordinate algorithm, one coordinate at a time; the bias is a coordinate without L1."""
+    import math
+    z, n, zb, nb = [0.0] * size, [0.0] * size, 0.0, 0.0
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    rng, bias = np.random.default_rng(seed), 0.0
+    for _ in range(epochs):
+        for d in rng.permutation(len(docs)):
+            bias = -zb / ((beta + math.sqrt(nb)) / alpha)
+            p = 1 / (1 + math.exp(-sum(weight(i) for i in docs[d]) - bias))
+            g = p - labels[d]
+            for i in docs[d]:
+                w = weight(i)
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * w
+                n[i] += g * g
+            zb += g - (math.sqrt(nb + g * g) - math.sqrt(nb)) / alpha * bias
+            nb += g * g
+    return [weight(i) for i in range(size)], bias
+
+
+def test_weights_equal_the_plain_algorithm():
+    r = np.random.default_rng(4)
+    docs = [np.unique(r.integers(0, 40, r.integers(0, 15))) for _ in range(120)]
+    labels = np.array([int(3 in d or 7 in d) for d in docs])
+    w, bias = tox.ftrl(docs, labels, 40, 0.8, 1.0, 1.5, 0.1, 3, 2)
+    want, want_bias = plain_ftrl([d.tolist() for d in docs], labels.tolist(), 40, 0.8, 1.0, 1.5, 0.1, 3, 2)
+    assert w == pytest.approx(np.array(want), abs=1e-12) and bias == pytest.approx(want_bias, abs=1e-12)
+    assert (w == 0).sum() == want.count(0.0) > 10 and w[3] > 0 and w[7] > 0
+
+
+def test_drop_toxic_keeps_whole_rows(spark):
+    rows, labels = corpus(400)
+    df = docs_frame(spark, rows + odd_rows(), extra=True)
+    kept = tox.drop_toxic(df, labels_frame(spark, labels))
+    scores = {(r.doc_id, r.score) for r in tox.toxicity(df, labels_frame(spark, labels)).collect() if r.score < 0.5}
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i, _ in scores}
+    assert tox.drop_toxic(df.limit(0), labels_frame(spark, labels)).count() == 0
+    none = labels_frame(spark, [(i, q, 0) for i, q, _ in labels])
+    assert tox.drop_toxic(df, none).count() == df.count()
