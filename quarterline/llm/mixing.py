@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterline.llm.common import fingerprint, packed, text_or_empty, written
+from quarterline.llm.common import fingerprint, packed, tasks, text_or_empty, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_WITH_BLANKS = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
@@ -140,6 +140,8 @@ def mixed_slots(counts: DataFrame, quotas: DataFrame, seed: int) -> DataFrame:
     j = (counts.withColumn("_j", F.coalesce(F.sum("n").over(before), F.lit(0)))
          .withColumn("_slot", F.coalesce(F.sum("n").over(in_shard), F.lit(0)))
          .join(quotas.select("source_no", "n_blocks"), "source_no")
+         # few rows make all slots: a width of their own, or one task would
+         .repartition(tasks(counts.sparkSession), "shard", "source_no")
          .withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
          .withColumn("_j", F.col("_j") + F.col("_i")))
     return (j.withColumn("pass", F.floor(F.col("_j") / F.col("n_blocks")))
