@@ -34,9 +34,9 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quarterline.llm.warc import read_warc, write_warc
-    records = read_warc(write_warc(table(spark, sf_dir, "pages")), with_payload=False)
-    return records.filter("gap is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    from quarterline.llm.warc import read_warc, whole_archives, write_warc
+    records = whole_archives(read_warc(write_warc(table(spark, sf_dir, "pages")), with_payload=False))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

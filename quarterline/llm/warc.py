@@ -1,9 +1,10 @@
 """WARC archives: a writer with one gzip member per record, and a reader that salvages.
 
 The reader checks each member (gzip CRC and length) and each record (version line, Content-Length,
-block digest, closing line ends). After a failed check it searches on from the next byte for a
-position where a whole member (or, in a plain file, a record that starts with a version line) passes
-every check again, goes on there, and logs the bytes in between as a quarantined gap.
+block digest, closing line ends). After a failed check it searches on from the next byte for the next
+gzip magic or version line where a whole member or record passes every check again, goes on there, and
+logs the bytes in between as a quarantined gap. Members are parsed to their end, however many records
+they hold, and plain records and members may follow each other in one file.
 """
 
 from __future__ import annotations
@@ -93,8 +94,9 @@ def parse_record(data, start: int = 0) -> tuple[dict, int]:
             "payload_digest": said}, end + 4
 
 
-def _member(data, start: int) -> tuple[dict, int]:
-    """The record in the gzip member at ``start`` and the member's end."""
+def _member(data, start: int) -> tuple[list[tuple[dict | None, str | None]], int]:
+    """What the gzip member at ``start`` holds, parsed to its end, and the member's end: (record, None) for every valid
+    record and (None, failed check) for every stretch in between; ValueError if the member has no valid record."""
     d = zlib.decompressobj(31)
     out, at = [], start
     try:
@@ -106,41 +108,76 @@ def _member(data, start: int) -> tuple[dict, int]:
     if not d.eof:
         raise ValueError("gzip member cut off")
     whole = b"".join(out)
-    record, end = parse_record(whole)
-    if end != len(whole):
-        raise ValueError("bytes after the record")
-    return record, min(at, len(data)) - len(d.unused_data)
+    found, place, lost = [], 0, None
+    while place < len(whole):
+        try:
+            record, end = parse_record(whole, place)
+        except ValueError as e:
+            lost = lost or f"{e} in a member"
+            m = _VERSION_LINE.search(whole, place + 1)
+            if m is None:
+                break
+            place = m.start()
+            continue
+        if lost:
+            found.append((None, lost))
+            lost = None
+        found.append((record, None))
+        place = end
+    if lost:
+        found.append((None, lost))
+    if not any(r for r, _ in found):
+        raise ValueError(found[0][1].removesuffix(" in a member") if found else "empty member")
+    return found, min(at, len(data)) - len(d.unused_data)
+
+
+def _next_start(data, at: int) -> int:
+    """The next place where a member or a version line may begin; -1 if there is none."""
+    magic, line = data.find(GZIP_MAGIC, at), _VERSION_LINE.search(data, at)
+    if line is None:
+        return magic
+    return line.start() if magic < 0 else min(magic, line.start())
 
 
 def salvage(data) -> Iterator[tuple[int, int, dict | None, str | None]]:
-    """(start, end, record, None) for each valid record, (start, end, None, failed check) for each gap."""
-    first, line = data.find(GZIP_MAGIC), _VERSION_LINE.search(data)
-    packed = first >= 0 and (line is None or first < line.start())  # whichever kind of start comes first
-    read, at, size = (_member, 0, len(data)) if packed else (parse_record, 0, len(data))
+    """(start, end, record, None) for each valid record, (start, end, None, failed check) for each gap.
+
+    Files may mix gzip members of one or more records with plain records: after a failed check the search goes
+    on at the next gzip magic or version line, whichever comes first. Records and gaps inside a member have the
+    member's start and end. An empty file has neither."""
+    at, size = 0, len(data)
     lost, why = None, None
     while at < size:
         try:
-            record, end = read(data, at)
+            if bytes(data[at:at + 3]) == GZIP_MAGIC:
+                found, end = _member(data, at)
+            else:
+                record, end = parse_record(data, at)
+                found = [(record, None)]
         except ValueError as e:
             if lost is None:
                 lost, why = at, str(e)
-            if packed:
-                at = data.find(GZIP_MAGIC, at + 1)
-            else:
-                m = _VERSION_LINE.search(data, at + 1)
-                at = m.start() if m else -1
+            at = _next_start(data, at + 1)
             if at < 0:
                 break
             continue
         if lost is not None:
             yield lost, at, None, why
             lost = None
-        yield at, end, record, None
+        for record, reason in found:
+            yield at, end, record, reason
         at = end
     if lost is not None:
         yield lost, size, None, why
 
 
+def whole_archives(records: DataFrame) -> DataFrame:
+    """The records of archives that must be undamaged: a quarantined gap is an error, not a missing row."""
+    message = F.concat(F.lit("archive "), F.col("path"), F.lit(" lost bytes "), F.col("start").cast("string"), F.lit(" to "),
+                       F.col("end").cast("string"), F.lit(": "), F.col("gap"))
+    return records.filter(F.assert_true(F.col("gap").isNull(), message).isNull())
+
+
 def write_warc(pages: DataFrame, folder: str | None = None, roll_bytes: int = 64 << 20) -> DataFrame:
     """Write ``(page_id, url, html)`` rows as WARC files and return their paths (path, n_records).
 
@@ -148,7 +185,8 @@ def write_warc(pages: DataFrame, folder: str | None = None, roll_bytes: int = 64
     revisits that name it. Rows that repeat that page_id and payload are responses too. Null html is
     an empty payload, and empty payloads count as equal like any others; a null page_id sorts below
     all ids. The digest groups are aggregated map-side; the html rows meet them in a join whose row
-    side AQE may split, so a payload that a third of all pages share is no hot task.
+    side AQE may split, so a payload that a third of all pages share is no hot task. An empty table
+    writes files without records, or none; other columns are not looked at.
     """
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")

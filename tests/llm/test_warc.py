@@ -85,3 +85,41 @@ def test_empty_and_hopeless_files():
 def test_one_record():
     r, end = parse_record(records(1)[0])
     assert r["record_type"] == "response" and end == len(records(1)[0])
+
+
+def test_members_and_plain_records_in_one_file():
+    parts = records(10)
+    members = [gzip.compress(r, mtime=0) for r in parts]
+    for mixed in (members[:5] + parts[5:], parts[:5] + members[5:], [x for pair in zip(members[:5], parts[5:]) for x in pair]):
+        found = list(salvage(b"".join(mixed)))
+        assert sorted(ids(found)) == list(range(10)) and all(r for _, _, r, _ in found)
+        damaged = [bytearray(x) for x in mixed]
+        damaged[4][len(damaged[4]) // 2] ^= 0xFF
+        found = list(salvage(b"".join(damaged)))
+        assert len(ids(found)) == 9
+        lo = sum(map(len, mixed[:4]))
+        assert [(s, e) for s, e, r, _ in found if r is None] == [(lo, lo + len(mixed[4]))]
+
+
+def test_several_records_in_one_member():
+    parts = records(6)
+    found = list(salvage(gzip.compress(parts[0] + parts[1]) + gzip.compress(parts[2]) + parts[3] + gzip.compress(parts[4] + parts[5])))
+    assert ids(found) == [0, 1, 2, 3, 4, 5]
+    wrong = parts[1].replace(b"page 1", b"page X", 1)
+    found = list(salvage(gzip.compress(parts[0] + wrong + b"noise" + parts[2]) + gzip.compress(parts[3] + parts[4][:-9])))
+    assert ids(found) == [0, 2, 3] and [w for *_, r, w in found if r is None] == ["block digest in a member", "record end in a member"]
+    assert ids(salvage(gzip.compress(wrong) + parts[3])) == [3]
+
+
+def test_a_gap_is_an_error_where_archives_must_be_whole(spark, tmp_path):
+    import pytest
+
+    from quarterline.llm.warc import whole_archives
+    good = write_warc(pages(spark, ROWS[:4]), folder=str(tmp_path / "w"))
+    assert whole_archives(read_warc(good)).count() == 4
+    path = tmp_path / "bad.warc.gz"
+    path.write_bytes(gzip.compress(records(1)[0]) + b"noise")
+    bad = spark.createDataFrame([(str(path), 1)], "path string, n_records long")
+    assert read_warc(bad).count() == 2
+    with pytest.raises(Exception, match="lost bytes"):
+        whole_archives(read_warc(bad)).collect()
