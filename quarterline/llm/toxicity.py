@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,22 +126,28 @@ def ftrl(docs: list[np.ndarray], labels: np.ndarray, size: int, alpha: float = A
 
 def _learn(table: pa.Table) -> pa.Table:
     """One learner: admit coordinates seen in MIN_DOCS documents, run FTRL, return the non-zero weights."""
-    table = table.sort_by([("order", "ascending"), ("doc_id", "ascending")])
-    texts, y = table["text"].to_pylist(), table["label"].to_numpy()
-    found = []
-    for part in _parts(texts):
-        d, c = map(np.concatenate, zip(*features(texts[part]), strict=True)) if any(texts[part]) else ([], [])
-        pairs = np.unique(np.asarray(d, np.uint64) << np.uint64(32) | np.asarray(c, np.uint64))
-        cut = np.searchsorted(pairs >> np.uint64(32), np.arange(part.stop - part.start + 1))
-        found += [pairs[a:b].astype(np.uint32) for a, b in zip(cut[:-1], cut[1:])]
-    coords, n = np.unique(np.concatenate(found or [np.zeros(0, np.uint32)]), return_counts=True)
-    coords = coords[n >= MIN_DOCS]
+    order = pa.compute.sort_indices(table, [("order", "ascending"), ("doc_id", "ascending")])
+    y, texts = table["label"].take(order).to_numpy(), table["text"].combine_chunks()
+    order, found = order.to_numpy(), []
+    for lo in range(0, len(order), 200):  # texts become strings, and words, a few at a time
+        some = [texts[k].as_py() for k in order[lo:lo + 200].tolist()]
+        for part in _parts(some, 500_000):
+            d, c = map(np.concatenate, zip(*features(some[part]), strict=True)) if any(some[part]) else ([], [])
+            pairs = np.unique(np.asarray(d, np.uint64) << np.uint64(32) | np.asarray(c, np.uint64))
+            cut = np.searchsorted(pairs >> np.uint64(32), np.arange(part.stop - part.start + 1))
+            found += [pairs[a:b].astype(np.uint32) for a, b in zip(cut[:-1], cut[1:])]
+    every = np.concatenate(found or [np.zeros(0, np.uint32)])
+    every.sort()
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+    coords = every[first[np.diff(np.append(first, len(every))) >= MIN_DOCS]]
+    del every, first
     docs = []
-    for f in found:
+    for k, f in enumerate(found):
         at = np.searchsorted(coords, f)
         ok = at < len(coords)
         ok[ok] = coords[at[ok]] == f[ok]
-        docs.append(at[ok])
+        docs.append(at[ok].astype(np.int32))
+        found[k] = None
     w, bias = ftrl(docs, y, len(coords))
     keep = w != 0
     return pa.table({"coord": pa.array(np.append(coords[keep].astype(np.int64), -1)),  # -1: the bias
