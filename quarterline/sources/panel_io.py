@@ -70,7 +70,7 @@ def write_subsampled(df: DataFrame, out: str, strategy: str,
     else:
         s = apply_strategy(df, strategy, **kwargs)
     write_panel(s, out, extra_partitions=tuple(parts))
-    written = df.sparkSession.read.parquet(out)
+    written = df.sparkSession.read.schema(s.schema).parquet(out)  # there may be no row and so no file
     by_split = written.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows"),
                                            F.count_distinct("asset").alias("assets"))
     skipped = df.select(*parts, "asset").distinct().join(written.select(*parts, "asset").distinct(), [*parts, "asset"], "left_anti")
