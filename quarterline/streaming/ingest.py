@@ -102,10 +102,17 @@ def commits_of(out: str) -> str:
     return out.rstrip("/") + "-commits"
 
 
-def read_ingested(spark: SparkSession, out: str, commits: str | None = None) -> DataFrame:
-    """Rows of committed batches (asset, ts, targets)."""
+def read_ingested(spark: SparkSession, out: str, commits: str | None = None, target_cols: Sequence[str] = TARGETS) -> DataFrame:
+    """Rows of committed batches (asset, ts, targets); empty where every row was left out."""
     done = spark.read.schema(COMMIT).parquet(commits or commits_of(out)).select("batch_id")
-    rows = spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("long"))
+    try:
+        rows = spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("long"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], T.StructType([T.StructField("ts", T.TimestampType())]
+                                                      + [T.StructField(c, T.DoubleType()) for c in target_cols]
+                                                      + [T.StructField("asset", T.StringType())]))
     return rows.join(done, "batch_id", "left_semi").drop("batch_id")
 
 

@@ -121,6 +121,20 @@ def test_nothing_refused_and_a_second_run(spark, tmp_path):
     assert len(rows) == 1 and refused == [] and t.batches == 1
 
 
+def test_every_row_refused_leaves_an_empty_panel(spark, tmp_path):
+    folder, out = tmp_path / "csv", str(tmp_path / "out")
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEADER + ",2024-01-01T00:00:00Z,4,2,3,9\nMon00Q1,not a time,1,1,1,1\n")
+    ingest.stream_ingest_csv(spark, str(folder), out, str(tmp_path / "ck"))
+    rows, refused, t = states(spark, out)
+    assert rows == [] and refused == [("bad_time", False), ("no_id", False)] and tuple(t) == (1, 2, 0, 1, 1, 0)
+    (folder / "b.csv").write_text(HEADER + "Mon00Q1,2024-01-01T00:00:00Z,4,2,3,9\n")
+    empty = dict(ingest.read_ingested(spark, out).dtypes)
+    ingest.stream_ingest_csv(spark, str(folder), out, str(tmp_path / "ck"))
+    later = ingest.read_ingested(spark, out)
+    assert later.count() == 1 and dict(later.dtypes) == empty
+
+
 def test_header_lines_in_one_scan(spark, tmp_path):
     folder = dirty_folder(tmp_path)
     (folder / "c.csv").write_text("\n \nvolume,ID\n1,x\n")
