@@ -197,6 +197,15 @@ def _encoder(key: tuple, ranks: dict[bytes, int], pattern: str, known: dict[str,
     return _ENCODERS[key]
 
 
+def _known(words: DataFrame) -> dict[str, bytes]:
+    """The frequent words, at most ``frequent`` rows, as Arrow: a Row and a list for each take ten times the memory."""
+    out = {}
+    for b in words.toArrow().to_batches(max_chunksize=10_000):
+        at, ids = b["ids"].offsets.to_numpy(), b["ids"].values.to_numpy().astype("<u4")
+        out.update((w, ids[i:j].tobytes()) for w, i, j in zip(b["word"].to_pylist(), at[:-1].tolist(), at[1:].tolist()))
+    return out
+
+
 def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
                frequent: int = FREQUENT) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids (little-endian uint32), decoded (bytes from the ids).
@@ -206,8 +215,7 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
     """
     spark = docs.sparkSession
     ranks = read_ranks(rank_file)
-    rows = frequent_words(docs, ranks, pattern, text_col, frequent).collect()  # at most ``frequent`` rows
-    known = {r.word: np.array(r.ids, "<u4").tobytes() for r in rows}
+    known = _known(frequent_words(docs, ranks, pattern, text_col, frequent))
     shared = spark.sparkContext.broadcast((ranks, known))
     name = (shared.id if hasattr(shared, "id") else id(shared), rank_file, len(known))
 

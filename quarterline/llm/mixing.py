@@ -160,6 +160,8 @@ def mix(docs: DataFrame, seed: int = 17, block_words: int = BLOCK_WORDS, id_col:
     source_size, target, start). Null text has size 0 and takes no part; a null source is a source of
     its own; rows that repeat a doc_id are documents of their own; an empty table gives empty results.
     Reruns with the same seed agree. Other columns of ``docs`` are not looked at.
+    Slots and pieces come from few rows by ``explode``, so Spark takes them for small: a join of them names
+    its strategy, or they would be broadcast through the driver.
     """
     rows = written(sized(docs, id_col, text_col, source_col), "mix-sizes")
     sources = written(source_targets(rows), "mix-sources")
@@ -180,11 +182,11 @@ def mix(docs: DataFrame, seed: int = 17, block_words: int = BLOCK_WORDS, id_col:
 def taken_words(slots: DataFrame, pieces: DataFrame, placed: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken): one row per document."""
     times = slots.groupBy("source_no", "block").agg(F.count(F.lit(1)).alias("times"))
-    taken = (pieces.join(times, ["source_no", "block"])
+    taken = (pieces.hint("merge").join(times, ["source_no", "block"])
              .groupBy("source_no", "start").agg(F.sum(F.col("times") * F.col("n_words")).alias("taken")))
     out = ["doc_id", "size", "source_size", "target"]
     # documents without words share their start with the next one: they stay out of the join
-    some = placed.filter("size > 0").join(taken, ["source_no", "start"], "left")
+    some = placed.filter("size > 0").hint("merge").join(taken, ["source_no", "start"], "left")
     return (some.select(*out, F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
             .unionByName(placed.filter("size = 0").select(*out, F.lit(0).cast("long").alias("taken"))))
 
@@ -193,10 +195,10 @@ def mixed_documents(docs: DataFrame, seed: int = 17, block_words: int = BLOCK_WO
     """The mix as rows of ``docs``: each document once per pass that takes words of it, its text the
     taken stretches (blanks between its words kept), n_chars their length if there is such a column."""
     slots, pieces, placed = mix(docs, seed, block_words)
-    runs = (pieces.join(slots.select("source_no", "block", "pass"), ["source_no", "block"])
+    runs = (pieces.hint("merge").join(slots.select("source_no", "block", "pass"), ["source_no", "block"])
             .groupBy("source_no", "start", "pass")
             .agg(F.array_sort(F.collect_list(F.struct("from_word", "n_words"))).alias("runs")))
-    runs = (placed.filter("size > 0").join(runs, ["source_no", "start"])
+    runs = (placed.filter("size > 0").hint("merge").join(runs, ["source_no", "start"])
             .groupBy("doc_id", "fp", "source", "size").agg(F.collect_list(F.struct("start", "pass", "runs")).alias("passes")))
     runs = runs.withColumnsRenamed({"doc_id": "of_id", "fp": "of_fp", "source": "of_source"})
     rows = packed(docs, id=F.col("doc_id").cast("long"), f=fingerprint(text_or_empty("text")), text=F.col("text"),

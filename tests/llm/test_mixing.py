@@ -96,3 +96,11 @@ def test_nothing_to_mix(spark, rows):
 def test_the_query_runs_no_python(spark):
     plan = taken_words(*mix(docs_frame(spark, many(50))))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_slots_are_not_broadcast(spark):
+    """Few small files name all slots, so Spark's own choice would be to send every slot through the driver."""
+    df = docs_frame(spark, many(50))
+    for out in (mixed_documents(df), taken_words(*mix(df))):
+        tree = out._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"BroadcastHashJoin \[(source_no|block|start)#\d+L?, (block|start|source_no)#", tree)
